@@ -25,3 +25,13 @@ def broadcast_if_small(small: DataFrame, limit_rows: int = BROADCAST_ROW_LIMIT)
 def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str] | Column,
                how: str = "left", limit_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     return big.join(broadcast_if_small(small, limit_rows), on, how)
+
+
+def attach(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+    """Put two frames side by side when ``right`` is a single-row aggregate.
+
+    Joined on a constant key with ``right`` broadcast: its size bound is one row.
+    """
+    k = "__attach"
+    return (left.withColumn(k, F.lit(1))
+            .join(F.broadcast(right.withColumn(k, F.lit(1))), k, how).drop(k))

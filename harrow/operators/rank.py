@@ -153,12 +153,16 @@ def preview(df: DataFrame, key: str, n: int = 20) -> DataFrame:
 
 def best_per_group(df: DataFrame, group: str, metric: str,
                    tie_break: str | None = None) -> DataFrame:
-    """The row with the highest metric per group; ties to the smallest tie_break."""
-    order = [F.col(metric).desc_nulls_last()]
-    if tie_break:
-        order.append(F.col(tie_break).asc())
-    w = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r")
+    """The row with the highest metric per group; ties to the smallest tie_break.
+
+    ``min_by`` over (-metric, tie_break) is an aggregate with map-side combine, so a
+    group holding a third of the rows is reduced before the shuffle."""
+    cols = [c for c in df.columns if c != group]
+    order = F.struct((-F.col(metric)).alias("m"),
+                     (F.col(tie_break) if tie_break else F.lit(0)).alias("t"))
+    best = (df.filter(F.col(metric).isNotNull()).groupBy(group)
+            .agg(F.min_by(F.struct(*cols), order).alias("__b")))
+    return best.select(group, *[F.col(f"__b.{c}").alias(c) for c in cols])
 
 
 def thin_indices(n: int, max_points: int = 300) -> list[int]:
@@ -199,11 +203,18 @@ def keep_latest(df: DataFrame, ts: str, n: int = 200, key: str | None = None) ->
 
 def drop_consecutive_repeats(df: DataFrame, partition: Sequence[str], order: Sequence[str],
                              signature: Sequence[str]) -> DataFrame:
-    """Drop a record whose signature equals the previous record's (null-safe)."""
-    w = Window.partitionBy(*partition).orderBy(*order)
+    """Drop a record whose signature equals the previous record's in its partition
+    (null-safe).  The previous record comes from the exact global order (range
+    partitioned) and an equi-join on position - 1, so one busy session is spread over
+    many tasks instead of one window partition."""
+    ranked = global_row_number(df, list(partition) + list(order), "__p")
+    prev = ranked.select((F.col("__p") + 1).alias("__p"),
+                         *[F.col(c).alias(f"__prev_{c}") for c in list(partition) + list(signature)])
+    j = ranked.join(prev, "__p", "left")
     same = None
-    for c in signature:
-        eq = F.lag(F.col(c)).over(w).eqNullSafe(F.col(c))
+    for c in list(partition) + list(signature):
+        eq = F.col(c).eqNullSafe(F.col(f"__prev_{c}"))
         same = eq if same is None else same & eq
-    first = F.lag(F.lit(1)).over(w).isNull()
-    return df.withColumn("__dup", ~first & same).filter(~F.col("__dup")).drop("__dup")
+    drop = F.coalesce(same, F.lit(False))
+    extra = [f"__prev_{c}" for c in list(partition) + list(signature)]
+    return j.filter(~drop).drop("__p", *extra)

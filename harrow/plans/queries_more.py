@@ -1 +1,219 @@
-"""Window, sampling, enrichment, signal, model and streaming queries."""
+"""Window (W), sampling (SA) and holdout-integrity queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from harrow.functions import columns as C
+from harrow.operators import evaluate as E
+from harrow.operators import rank as W
+from harrow.operators import sampling as SA
+from harrow.plans import fixtures as FX
+from harrow.plans.catalog import register, with_ctes
+from harrow.plans.queries_core import LOG_SQL
+
+LAB = FX.LABELLED_CTE
+SC = FX.SCORED_CTE
+H = "md5(concat_ws('-', CAST(track_key AS VARCHAR), '42'))"
+
+
+def prediction_log_ms(spark, sf):
+    ev = FX.table(spark, sf, "events")
+    return ev.select(F.col("event_id").alias("id"),
+                     F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"),
+                     F.col("event_type").alias("mode"), (F.col("value") / 100).alias("score"),
+                     "user_id")
+
+
+LOG_MS_SQL = """
+logm AS (SELECT event_id AS id, CAST(epoch_us(ts) // 1000 AS BIGINT) AS timestamp, event_type AS mode,
+                value / 100 AS score, user_id FROM events)"""
+
+
+@register("w01_temporal_split", with_ctes(LAB) + """,
+r AS (SELECT track_key, row_number() OVER (ORDER BY first_week, track_key) AS rn,
+             count(*) OVER () AS n FROM labelled)
+SELECT track_key, CAST(rn > CAST(floor(CAST(0.8 AS DOUBLE) * n) AS BIGINT) AS INTEGER) AS is_test
+FROM r""")
+def w01_temporal_split(spark, sf):
+    lab = FX.labelled_tracks(spark, sf)
+    return W.temporal_split(lab, "first_week", ["track_key"], 0.2).select("track_key", "is_test")
+
+
+@register("w01_split_sizes", with_ctes(LAB) + """,
+r AS (SELECT hit, row_number() OVER (ORDER BY first_week, track_key) AS rn,
+             count(*) OVER () AS n FROM labelled),
+t AS (SELECT CAST(rn > CAST(floor(CAST(0.8 AS DOUBLE) * n) AS BIGINT) AS INTEGER) AS is_test,
+             hit FROM r)
+SELECT is_test, count(*) AS rows, avg(CAST(hit AS DOUBLE)) AS positive_rate
+FROM t GROUP BY is_test""", doubles=["positive_rate"])
+def w01_split_sizes(spark, sf):
+    lab = FX.labelled_tracks(spark, sf)
+    split = W.temporal_split(lab, "first_week", ["track_key"], 0.2)
+    return split.groupBy("is_test").agg(F.count(F.lit(1)).alias("rows"),
+                                        F.avg(F.col("hit").cast("double")).alias("positive_rate"))
+
+
+@register("w02_top_k_scored", with_ctes(SC) + """
+SELECT row_key, y_score, substr(CAST(row_key AS VARCHAR), 1, 40) AS label
+FROM scored ORDER BY y_score DESC, row_key LIMIT 10""", doubles=["y_score"])
+def w02_top_k_scored(spark, sf):
+    s = FX.scored(spark, sf)
+    top = W.top_k(s, "y_score", 10, key="row_key")
+    return top.select("row_key", "y_score", C.row_label(s, "row_key", 40).alias("label"))
+
+
+@register("w03_preview", with_ctes(LAB) + """
+SELECT track_key, artist, nation, popularity FROM labelled ORDER BY track_key LIMIT 20""",
+          doubles=["popularity"])
+def w03_preview(spark, sf):
+    lab = FX.labelled_tracks(spark, sf).select("track_key", "artist", "nation", "popularity")
+    return W.preview(lab, "track_key", 20)
+
+
+@register("w04_best_per_group", with_ctes(SC) + """
+SELECT "group", row_key, y_score FROM (
+  SELECT "group", row_key, y_score,
+         row_number() OVER (PARTITION BY "group" ORDER BY y_score DESC, row_key) AS r
+  FROM scored WHERE y_score IS NOT NULL) WHERE r = 1""", doubles=["y_score"])
+def w04_best_per_group(spark, sf):
+    s = FX.scored(spark, sf).select("group", "row_key", "y_score")
+    return W.best_per_group(s, "group", "y_score", "row_key")
+
+
+@register("w06_keep_latest", with_ctes(LOG_MS_SQL) + """
+SELECT id, timestamp, mode, score FROM logm ORDER BY timestamp DESC, id DESC LIMIT 200""",
+          doubles=["score"])
+def w06_keep_latest(spark, sf):
+    log = prediction_log_ms(spark, sf).select("id", "timestamp", "mode", "score")
+    return W.keep_latest(log, "timestamp", 200, key="id")
+
+
+@register("w07_drop_consecutive_repeats", with_ctes(LOG_MS_SQL) + """,
+s AS (SELECT *, lag(mode) OVER w AS pm, lag(score) OVER w AS ps,
+             lag(1) OVER w AS has_prev
+      FROM logm WINDOW w AS (PARTITION BY user_id ORDER BY timestamp, id))
+SELECT id, user_id, mode, score FROM s
+WHERE has_prev IS NULL OR NOT (mode IS NOT DISTINCT FROM pm AND score IS NOT DISTINCT FROM ps)""",
+          doubles=["score"])
+def w07_drop_consecutive_repeats(spark, sf):
+    log = prediction_log_ms(spark, sf).select("id", "user_id", "timestamp", "mode",
+                                              "score")
+    out = W.drop_consecutive_repeats(log, ["user_id"], ["timestamp", "id"], ["mode", "score"])
+    return out.select("id", "user_id", "mode", "score")
+
+
+# --- sampling ----------------------------------------------------------------
+
+MATCH_SQL = LAB + f""",
+b AS (SELECT track_key, hit, year(first_week) AS yr, coalesce(genre, 'unknown') AS grp,
+             {H} AS h FROM labelled),
+p AS (SELECT *, row_number() OVER (PARTITION BY yr, grp ORDER BY h, track_key) AS r
+      FROM b WHERE hit = 1 AND yr IS NOT NULL),
+c AS (SELECT *, row_number() OVER (PARTITION BY yr, grp ORDER BY h, track_key) AS r
+      FROM b WHERE hit = 0 AND yr IS NOT NULL),
+m1 AS (SELECT p.track_key AS pk, c.track_key AS ck FROM p JOIN c
+       ON p.yr = c.yr AND p.grp = c.grp AND p.r = c.r),
+p2 AS (SELECT *, row_number() OVER (PARTITION BY yr ORDER BY h, track_key) AS r2
+       FROM p WHERE track_key NOT IN (SELECT pk FROM m1)),
+c2 AS (SELECT *, row_number() OVER (PARTITION BY yr ORDER BY h, track_key) AS r2
+       FROM c WHERE track_key NOT IN (SELECT ck FROM m1)),
+m2 AS (SELECT p2.track_key AS pk, c2.track_key AS ck FROM p2 JOIN c2
+       ON p2.yr = c2.yr AND p2.r2 = c2.r2)"""
+
+
+@register("sa01_match_report", with_ctes(MATCH_SQL) + """
+SELECT (SELECT count(*) FROM b WHERE hit = 1) AS hits_available,
+       (SELECT count(*) FROM b WHERE hit = 0) AS controls_available,
+       (SELECT count(*) FROM m1) AS matched_year_and_genre,
+       (SELECT count(*) FROM m2) AS matched_year_only,
+       (SELECT count(*) FROM b WHERE hit = 1) - (SELECT count(*) FROM m1)
+         - (SELECT count(*) FROM m2) AS hits_unmatched,
+       2 * ((SELECT count(*) FROM m1) + (SELECT count(*) FROM m2)) AS rows_out,
+       CASE WHEN (SELECT count(*) FROM m1) + (SELECT count(*) FROM m2) > 0 THEN 0.5
+            ELSE 0.0 END AS positive_rate""", doubles=["positive_rate"])
+def sa01_match_report(spark, sf):
+    lab = FX.labelled_tracks(spark, sf)
+    _, report = SA.case_control_match(lab, "hit", "first_week", "genre", "track_key", 42)
+    return report
+
+
+@register("sa01_matched_sample", with_ctes(MATCH_SQL) + """
+SELECT track_key, hit FROM labelled
+WHERE track_key IN (SELECT pk FROM m1 UNION ALL SELECT ck FROM m1
+                    UNION ALL SELECT pk FROM m2 UNION ALL SELECT ck FROM m2)""")
+def sa01_matched_sample(spark, sf):
+    lab = FX.labelled_tracks(spark, sf)
+    sample, _ = SA.case_control_match(lab, "hit", "first_week", "genre", "track_key", 42)
+    return sample.select("track_key", "hit")
+
+
+@register("sa02_stratified_split", with_ctes(LAB) + f""",
+r AS (SELECT track_key, hit, row_number() OVER (PARTITION BY hit ORDER BY {H}, track_key) AS r,
+             count(*) OVER (PARTITION BY hit) AS n FROM labelled)
+SELECT track_key, hit,
+       CAST(r > floor(n * CAST(0.8 AS DOUBLE)) AS INTEGER) AS is_test FROM r""")
+def sa02_stratified_split(spark, sf):
+    lab = FX.labelled_tracks(spark, sf).select("track_key", "hit")
+    return SA.stratified_split(lab, "hit", "track_key", 0.2, 42)
+
+
+@register("sa03_stratified_folds", with_ctes(LAB) + f"""
+SELECT track_key, hit,
+       CAST((row_number() OVER (PARTITION BY hit ORDER BY {H}, track_key) - 1) % 5 AS INTEGER)
+         AS fold
+FROM labelled""")
+def sa03_stratified_folds(spark, sf):
+    lab = FX.labelled_tracks(spark, sf).select("track_key", "hit")
+    return SA.stratified_folds(lab, "hit", "track_key", 5, 42)
+
+
+@register("sa05_balanced_class_weights", with_ctes(LAB) + """,
+c AS (SELECT count(*) AS n, count(*) FILTER (WHERE hit = 1) AS pos,
+             count(*) FILTER (WHERE hit = 0) AS neg FROM labelled)
+SELECT n, pos, neg, CASE WHEN pos > 0 THEN n / (2 * pos) END AS weight_pos,
+       CASE WHEN neg > 0 THEN n / (2 * neg) END AS weight_neg,
+       CASE WHEN pos > 0 THEN neg / pos ELSE 1.0 END AS scale_pos_weight FROM c""",
+          doubles=["weight_pos", "weight_neg", "scale_pos_weight"])
+def sa05_balanced_class_weights(spark, sf):
+    return SA.balanced_class_weights(FX.labelled_tracks(spark, sf), "hit")
+
+
+def minority_embeddings(spark, sf):
+    """Embeddings with label 0 as the (about 10%) minority class."""
+    emb = FX.table(spark, sf, "embeddings")
+    return emb.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"),
+                      (F.col("label") == 0).cast("int").alias("y"))
+
+
+@register("sa04_smote")
+def sa04_smote(spark, sf):
+    """Rows-only check; invariants are tested in tests/test_sampling.py."""
+    return SA.smote(minority_embeddings(spark, sf), "y", "embedding", "vec_id", k=5, seed=42)
+
+
+@register("sa04_smote_class_counts", """
+SELECT y, n FROM (SELECT 0 AS y UNION ALL SELECT 1 AS y) AS labels_,
+     (SELECT count(*) AS n FROM embeddings WHERE label != 0) AS majority""")
+def sa04_smote_class_counts(spark, sf):
+    """After SMOTE both classes hold the majority count."""
+    out = SA.smote(minority_embeddings(spark, sf), "y", "embedding", "vec_id", k=5, seed=42)
+    return out.groupBy("y").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("e13_holdout_integrity", with_ctes(LAB) + """,
+r AS (SELECT *, row_number() OVER (ORDER BY first_week, track_key) AS rn,
+             count(*) OVER () AS n FROM labelled),
+t AS (SELECT * FROM r WHERE rn > CAST(floor(CAST(0.8 AS DOUBLE) * n) AS BIGINT))
+SELECT count(*) AS n_before, count(*) AS n_after, avg(CAST(hit AS DOUBLE)) AS rate_before,
+       avg(CAST(hit AS DOUBLE)) AS rate_after, 1 AS unchanged FROM t""",
+          doubles=["rate_before", "rate_after"])
+def e13_holdout_integrity(spark, sf):
+    """The holdout before and after the training rows are rebalanced by matching."""
+    lab = FX.labelled_tracks(spark, sf)
+    split = W.temporal_split(lab, "first_week", ["track_key"], 0.2)
+    test = split.filter("is_test = 1").drop("is_test")
+    train = split.filter("is_test = 0").drop("is_test")
+    matched, _ = SA.case_control_match(train, "hit", "first_week", "genre", "track_key", 42)
+    after = matched.unionByName(test).join(test.select("track_key"), "track_key", "left_semi")
+    return E.holdout_integrity(test, after, "hit", ["track_key"])
