@@ -217,3 +217,92 @@ def e13_holdout_integrity(spark, sf):
     matched, _ = SA.case_control_match(train, "hit", "first_week", "genre", "track_key", 42)
     after = matched.unionByName(test).join(test.select("track_key"), "track_key", "left_semi")
     return E.holdout_integrity(test, after, "hit", ["track_key"])
+
+
+# --- enrichment -----------------------------------------------------------------
+
+from harrow.operators import enrich as EN  # noqa: E402
+from harrow.plans import catalog_json as CJ  # noqa: E402
+
+
+def _catalog(spark, sf):
+    tracks = EN.parse_records(CJ.track_json(spark, sf), "value", EN.TRACK_SCHEMA, "track")
+    artists = EN.parse_records(CJ.artist_json(spark, sf), "value", EN.ARTIST_SCHEMA, "artist")
+    return tracks, artists
+
+
+FLAT_COLS = ("track_id, track_popularity, artist_popularity, artist_followers, duration_ms, "
+             "is_explicit, release_year, release_month, num_artists, primary_genre, has_preview")
+
+
+@register("s05_read_track_json", """
+SELECT 't' || CAST(o_orderkey AS VARCHAR) AS id, CAST(trunc(o_totalprice / 5000) AS INTEGER) AS popularity,
+       CASE WHEN o_orderkey % 10 = 7 THEN 0 ELSE 1 END AS n_artists,
+       CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 'http://p/' || CAST(o_orderkey AS VARCHAR) END
+         AS preview_url
+FROM orders""")
+def s05_read_track_json(spark, sf):
+    tracks = EN.parse_records(CJ.track_json(spark, sf), "value", EN.TRACK_SCHEMA, "t")
+    return tracks.select(F.col("t.id").alias("id"), F.col("t.popularity").alias("popularity"),
+                         F.size("t.artists").alias("n_artists"),
+                         F.col("t.preview_url").alias("preview_url"))
+
+
+@register("p13_flatten_catalog", with_ctes(CJ.FLAT_SQL) + f"""
+SELECT {FLAT_COLS} FROM flat""")
+def p13_flatten_catalog(spark, sf):
+    tracks, artists = _catalog(spark, sf)
+    return EN.flatten_catalog(EN.lookup_first_artist(tracks, artists))
+
+
+@register("j02_lookup_first_artist", with_ctes(CJ.FLAT_SQL) + """
+SELECT track_id, artist_popularity, artist_followers, primary_genre FROM flat""")
+def j02_lookup_first_artist(spark, sf):
+    tracks, artists = _catalog(spark, sf)
+    flat = EN.flatten_catalog(EN.lookup_first_artist(tracks, artists))
+    return flat.select("track_id", "artist_popularity", "artist_followers", "primary_genre")
+
+
+@register("p14_parse_release_date", f"""
+WITH o AS (SELECT * FROM orders), r AS (SELECT o_orderkey, {CJ.RELEASE_SQL} AS rd FROM orders o)
+SELECT o_orderkey, rd AS release_date,
+       {CJ._digits("split_part(rd, '-', 1)")} AS release_year,
+       {CJ._digits("split_part(rd, '-', 2)")} AS release_month FROM r""")
+def p14_parse_release_date(spark, sf):
+    o = FX.table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    rd = (F.when(k % 5 == 0, F.date_format("o_orderdate", "yyyy-MM-dd"))
+          .when(k % 5 == 1, F.date_format("o_orderdate", "yyyy"))
+          .when(k % 5 == 2, F.date_format("o_orderdate", "yyyy-MM"))
+          .when(k % 5 == 3, F.lit("")).otherwise(F.lit("unknown")))
+    year, month = C.parse_release_date(rd)
+    return o.select("o_orderkey", rd.alias("release_date"), year.alias("release_year"),
+                    month.alias("release_month"))
+
+
+META_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+              "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@register("j01_enrich_left_join", with_ctes(CJ.FLAT_SQL) + f""",
+m AS (SELECT 't' || CAST(l_orderkey AS VARCHAR) AS track_id,
+             'line ' || CAST(l_linenumber AS VARCHAR) AS track_name,
+             l_returnflag AS playlist_genre, l_linestatus AS playlist_subgenre,
+             row_number() OVER (PARTITION BY l_orderkey ORDER BY {", ".join(META_ORDER)}) AS r
+      FROM lineitem)
+SELECT {FLAT_COLS}, m.track_name, m.playlist_genre, m.playlist_subgenre,
+       CAST(coalesce(track_popularity >= 70, false) AS INTEGER) AS hit
+FROM flat LEFT JOIN (SELECT * FROM m WHERE r = 1) m USING (track_id)""")
+def j01_enrich_left_join(spark, sf):
+    tracks, artists = _catalog(spark, sf)
+    facts = EN.flatten_catalog(EN.lookup_first_artist(tracks, artists))
+    li = FX.table(spark, sf, "lineitem")
+    meta = li.select(F.concat(F.lit("t"), F.col("l_orderkey").cast("string")).alias("track_id"),
+                     *META_ORDER)
+    meta = meta.withColumn("track_name", F.concat(F.lit("line "),
+                                                  F.col("l_linenumber").cast("string")))
+    meta = meta.withColumn("playlist_genre", F.col("l_returnflag")).withColumn(
+        "playlist_subgenre", F.col("l_linestatus"))
+    out = EN.enrich_left_join(facts, meta, "track_id", META_ORDER,
+                              keep=["track_name", "playlist_genre", "playlist_subgenre"])
+    return out
