@@ -306,3 +306,123 @@ def j01_enrich_left_join(spark, sf):
     out = EN.enrich_left_join(facts, meta, "track_id", META_ORDER,
                               keep=["track_name", "playlist_genre", "playlist_subgenre"])
     return out
+
+
+# --- signal features ---------------------------------------------------------------
+
+from harrow.operators import signal as G  # noqa: E402
+from harrow.sources import io as IO  # noqa: E402
+from harrow.session import scratch_path  # noqa: E402
+
+TD_SQL = """
+td AS (
+  SELECT vec_id,
+         sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))
+              / 2048) AS energy,
+         20 * log10(greatest(sqrt(list_sum(list_transform(embedding,
+              lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))) / 2048), 1e-5)) AS loudness_db,
+         len(list_filter(range(1, len(embedding)),
+             lambda i: (embedding[i + 1] < -1e-10) != (embedding[i] < -1e-10))) / 2048 AS zcr
+  FROM embeddings)"""
+
+
+def _embeddings(spark, sf):
+    return FX.table(spark, sf, "embeddings").select("vec_id", "embedding")
+
+
+@register("g01_time_domain_features", with_ctes(TD_SQL) + """
+SELECT vec_id, energy, loudness_db, zcr FROM td""", doubles=["energy", "loudness_db", "zcr"])
+def g01_time_domain_features(spark, sf):
+    """Single-frame case at this size (64 samples); the SQL twin covers that case."""
+    return G.time_domain_features(_embeddings(spark, sf), "embedding").drop("embedding")
+
+
+@register("g01_signal_features")
+def g01_signal_features(spark, sf):
+    """All 21 features (spectral part in mapInPandas); rows-only check."""
+    return G.signal_features(_embeddings(spark, sf), "embedding", "vec_id")
+
+
+_zero_cols = ", ".join(
+    (f"coalesce({c}, 0.0) AS {c}" if c in ("energy", "loudness_db", "zcr") else f"0.0 AS {c}")
+    for c in G.SIGNAL_FEATURES)
+
+
+@register("g02_zero_features", """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 4 = 0 THEN NULL ELSE embedding END AS embedding
+           FROM embeddings),
+td AS (
+  SELECT vec_id,
+         sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))
+              / 2048) AS energy,
+         CASE WHEN embedding IS NOT NULL THEN
+         20 * log10(greatest(sqrt(list_sum(list_transform(embedding,
+              lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))) / 2048), 1e-5)) END AS loudness_db,
+         len(list_filter(range(1, len(embedding)),
+             lambda i: (embedding[i + 1] < -1e-10) != (embedding[i] < -1e-10))) / 2048 AS zcr
+  FROM e)
+SELECT vec_id, """ + _zero_cols + """, 'audio features unavailable' AS audio_warning FROM td""",
+          doubles=list(G.SIGNAL_FEATURES))
+def g02_zero_features(spark, sf):
+    e = _embeddings(spark, sf)
+    e = e.withColumn("embedding", F.when(F.col("vec_id") % 4 == 0, F.lit(None))
+                     .otherwise(F.col("embedding")))
+    td = G.time_domain_features(e, "embedding").drop("embedding")
+    return G.zero_features(td).select("vec_id", *G.SIGNAL_FEATURES, "audio_warning")
+
+
+_overlay_num = ", ".join(f"{v!r}::DOUBLE AS {k}" for k, v in C.NEUTRAL_METADATA_NUMERIC.items())
+_overlay_txt = ", ".join(f"'' AS {k}" for k in C.NEUTRAL_METADATA_TEXT)
+
+
+@register("p10_overlay_neutral_metadata", with_ctes(TD_SQL) + f"""
+SELECT vec_id, CAST(NULL AS DOUBLE) AS tempo, energy, loudness_db, zcr,
+       loudness_db AS loudness, zcr AS speechiness, {_overlay_num}, {_overlay_txt} FROM td""",
+          doubles=["tempo", "energy", "loudness_db", "zcr", "loudness", "speechiness",
+                   *C.NEUTRAL_METADATA_NUMERIC])
+def p10_overlay_neutral_metadata(spark, sf):
+    td = G.time_domain_features(_embeddings(spark, sf), "embedding").drop("embedding")
+    td = td.withColumn("tempo", F.lit(None).cast("double"))
+    return C.overlay_neutral_metadata(td)
+
+
+# --- sources and sinks --------------------------------------------------------------
+
+@register("s01_read_table", """
+SELECT c_custkey,
+       CASE WHEN c_custkey % 17 = 0 THEN c_name || chr(10) || 'x "q"' ELSE c_name END AS c_name,
+       CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment,
+       c_acctbal
+FROM customer""", doubles=["c_acctbal"])
+def s01_read_table(spark, sf):
+    """Customer written as CSV (upper-case header, NA tokens, quoted newlines), read back."""
+    c = FX.table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    raw = c.select(
+        k.alias("C_CUSTKEY"),
+        F.when(k % 17 == 0, F.concat(F.col("c_name"), F.lit('\nx "q"'))).otherwise(
+            F.col("c_name")).alias("C_NAME"),
+        F.when(k % 13 == 0, F.lit("NA")).otherwise(F.col("c_mktsegment")).alias("C_MKTSEGMENT"),
+        F.col("c_acctbal").alias("C_ACCTBAL"))
+    path = scratch_path(spark, "csv")
+    raw.write.option("header", True).option("escape", '"').csv(path)
+    schema = "c_custkey bigint, c_name string, c_mktsegment string, c_acctbal double"
+    from pyspark.sql.types import _parse_datatype_string
+    return IO.read_table(spark, path, _parse_datatype_string(schema))
+
+
+@register("s02_write_read_result", with_ctes(FX.RAW_TRACKS_CTE) + f""",
+t AS (SELECT year({FX.PARSE_DATE_SQL.format(c="first_week")}) AS year,
+             CAST(coalesce(popularity >= 400000.0, false) AS INTEGER) AS hit FROM raw_tracks)
+SELECT year, count(hit) AS count, avg(CAST(hit AS DOUBLE)) AS rate,
+       CAST(year > 2000 AS INTEGER) AS is_future, 'natural' AS run
+FROM t WHERE year IS NOT NULL GROUP BY year HAVING count(hit) >= 10""", doubles=["rate"])
+def s02_write_read_result(spark, sf):
+    """A result written per run (S2) and read back (S3); a second run never clobbers it."""
+    from harrow.operators import profile as A
+    df = C.add_label(FX.raw_tracks(spark, sf), "popularity", FX.LABEL_THRESHOLD)
+    res = A.rate_by_year(df, "first_week", "hit", 10, FX.NOW, FX.DATE_FORMATS)
+    base = scratch_path(spark, "results")
+    IO.write_result(res, base, "rate_by_year", "natural")
+    IO.write_result(res.limit(1), base, "rate_by_year", "balanced")
+    return IO.read_result(spark, base, "rate_by_year", "natural")
