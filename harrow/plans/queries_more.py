@@ -426,3 +426,70 @@ def s02_write_read_result(spark, sf):
     IO.write_result(res, base, "rate_by_year", "natural")
     IO.write_result(res.limit(1), base, "rate_by_year", "balanced")
     return IO.read_result(spark, base, "rate_by_year", "natural")
+
+
+# --- streaming -------------------------------------------------------------------------
+
+from harrow.streaming import stream as X  # noqa: E402
+
+
+def _stage_events(spark, sf, with_repeats: bool) -> str:
+    """Events written as several files in time order (plus repeated ids, optionally)
+    so the stream runs over many micro-batches."""
+    ev = FX.table(spark, sf, "events")
+    if with_repeats:
+        ev = ev.unionByName(ev.filter(F.col("event_id") % 10 == 0))
+    path = scratch_path(spark, "events-stage")
+    # Slices are appended one after another in time order, so the file source (oldest
+    # file first) replays the log in event-time order, as a live feed would arrive.
+    secs = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts = ev.select(secs.alias("s")).approxQuantile("s", [i / 6 for i in range(1, 6)], 0.001)
+    bounds = [None] + cuts + [None]
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (secs > F.lit(int(lo)))
+        if hi is not None:
+            cond = cond & (secs <= F.lit(int(hi)))
+        ev.filter(cond).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def stream_scorer(df):
+    """A fixed logistic scorer on ``value`` (M12's contract) plus the verdict."""
+    p = 1 / (1 + F.exp(-(F.col("value") - 50) / 20))
+    return df.select("event_id", p.alias("hit_potential"),
+                     (p >= 0.5).cast("int").alias("predicted_hit"),
+                     C.verdict_band(p).alias("verdict"))
+
+
+@register("x01_score_stream", """
+SELECT event_id, 1 / (1 + exp(-(value - 50) / 20)) AS hit_potential,
+       CAST(1 / (1 + exp(-(value - 50) / 20)) >= 0.5 AS INTEGER) AS predicted_hit,
+       CASE WHEN 100 / (1 + exp(-(value - 50) / 20)) >= 70 THEN '🔥 BANGER'
+            WHEN 100 / (1 + exp(-(value - 50) / 20)) >= 40 THEN '😴 SLEEPER'
+            ELSE '💀 FLOP' END AS verdict
+FROM events""", doubles=["hit_potential"])
+def x01_score_stream(spark, sf):
+    stage = _stage_events(spark, sf, False)
+    schema = FX.table(spark, sf, "events").schema
+    sink, ckpt = scratch_path(spark, "x1-sink"), scratch_path(spark, "x1-ckpt")
+    X.score_stream(X.file_stream(spark, stage, schema, 2), stream_scorer, sink, ckpt)
+    return spark.read.parquet(sink)
+
+
+@register("x02_history_stats_stream", """
+WITH d AS (SELECT DISTINCT event_id, ts, event_type, value / 100 AS score FROM events)
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n,
+       avg(score) AS mean_score, max(score) AS max_score,
+       count(*) FILTER (WHERE score >= 0.5) AS n_positive,
+       avg(CAST(event_type = 'purchase' AS DOUBLE)) AS label_rate
+FROM d GROUP BY 1""", doubles=["mean_score", "max_score", "label_rate"])
+def x02_history_stats_stream(spark, sf):
+    stage = _stage_events(spark, sf, True)
+    schema = FX.table(spark, sf, "events").schema
+    src = X.file_stream(spark, stage, schema, 2).withColumn("score", F.col("value") / 100)
+    sink, ckpt = scratch_path(spark, "x2-sink"), scratch_path(spark, "x2-ckpt")
+    X.history_stats_stream(src, "ts", "event_id", "score", F.col("event_type") == "purchase",
+                           sink, ckpt)
+    return X.latest_per_window(spark, sink)
