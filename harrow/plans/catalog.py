@@ -61,3 +61,4 @@ def load_all() -> None:
     from harrow.plans import queries_core  # noqa: F401
     from harrow.plans import queries_eval  # noqa: F401
     from harrow.plans import queries_more  # noqa: F401
+    from harrow.plans import queries_ml  # noqa: F401
