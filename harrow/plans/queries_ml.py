@@ -263,3 +263,19 @@ def e10_model_comparison(spark, sf):
 def e11_hypothesis_verdicts(spark, sf):
     from harrow.plans.flagship import fairness_flagship
     return E.hypothesis_verdicts(comparison_table(spark, sf), fairness_flagship(spark, sf, 30))
+
+
+@register("e14_run_experiment")
+def e14_run_experiment(spark, sf):
+    """The experiment job end to end; returns the model comparison table.
+
+    Registered with the linear family, the fast grids and 3 folds so the check stays
+    short on one machine; the forest and boosted families run through the same call
+    with ``families=``."""
+    from harrow.plans.experiment import run_experiment
+    out = run_experiment(FX.raw_tracks(spark, sf), score_col="popularity",
+                         threshold=FX.LABEL_THRESHOLD, time_col="first_week", now=FX.NOW,
+                         formats=FX.DATE_FORMATS, key=KEY, group_col="nation",
+                         numeric=NUMERIC, categorical=CATEGORICAL,
+                         families=("logistic_regression",), fast=True, folds=3)
+    return out["model_comparison"]
