@@ -287,3 +287,11 @@ def e06_holdout_group_metrics(spark, sf):
 SELECT * FROM fair""", doubles=FAIR_DOUBLES)
 def e07_flagship_fairness(spark, sf):
     return fairness_flagship(spark, sf, 30)
+
+
+@register("w05_thin_curve", with_ctes(SC, groups_sql("scored")) + ROC_SQL + f"""
+SELECT position, fpr, tpr FROM {_thin_sql('roc')} r""", doubles=["fpr", "tpr"])
+def w05_thin_curve(spark, sf):
+    from harrow.operators.rank import thin_curve
+    roc = E.roc_curve(FX.scored(spark, sf))
+    return thin_curve(roc, "position", 300).select("position", "fpr", "tpr")

@@ -279,3 +279,89 @@ def e14_run_experiment(spark, sf):
                          numeric=NUMERIC, categorical=CATEGORICAL,
                          families=("logistic_regression",), fast=True, folds=3)
     return out["model_comparison"]
+
+
+# --- preprocessing stages (F1-F5), P11, W5, M10 ------------------------------------------
+
+from harrow.ml import features as FE  # noqa: E402
+
+_F_COLS = ["energy", "tempo", "acctbal"]
+
+
+@register("f01_median_impute", with_ctes(SPLIT_SQL) + """,
+med AS (SELECT median(energy) AS m0, median(tempo) AS m1, median(acctbal) AS m2 FROM train)
+SELECT track_key, coalesce(energy, m0) AS energy, coalesce(tempo, m1) AS tempo,
+       coalesce(acctbal, m2) AS acctbal FROM test, med""", doubles=_F_COLS)
+def f01_median_impute(spark, sf):
+    """Medians fitted on the training rows fill the holdout's gaps."""
+    train, test = split(spark, sf)
+    stats = FE.fit_numeric_stats(train, _F_COLS)
+    return test.select("track_key", *[F.coalesce(F.col(c), F.lit(stats[c]["median"])).alias(c)
+                                      for c in _F_COLS])
+
+
+@register("f02_standard_scale", with_ctes(SPLIT_SQL) + """,
+med AS (SELECT median(energy) AS m0, median(tempo) AS m1, median(acctbal) AS m2 FROM train),
+imp AS (SELECT coalesce(energy, m0) AS e, coalesce(tempo, m1) AS t, coalesce(acctbal, m2) AS a
+        FROM train, med),
+st AS (SELECT avg(e) AS ae, stddev_pop(e) AS se, avg(t) AS avg_t, stddev_pop(t) AS stt,
+              avg(a) AS aa, stddev_pop(a) AS sa FROM imp)
+SELECT track_key,
+       (coalesce(energy, m0) - ae) / CASE WHEN se > 0 THEN se ELSE 1.0 END AS energy,
+       (coalesce(tempo, m1) - avg_t) / CASE WHEN stt > 0 THEN stt ELSE 1.0 END AS tempo,
+       (coalesce(acctbal, m2) - aa) / CASE WHEN sa > 0 THEN sa ELSE 1.0 END AS acctbal
+FROM test, med, st""", doubles=_F_COLS)
+def f02_standard_scale(spark, sf):
+    """Population-std scaling of the imputed columns; a constant column divides by 1."""
+    train, test = split(spark, sf)
+    stats = FE.fit_numeric_stats(train, _F_COLS)
+    return test.select("track_key", *[
+        ((F.coalesce(F.col(c), F.lit(s["median"])) - F.lit(s["mean"])) / F.lit(s["scale"]))
+        .alias(c) for c, s in stats.items()])
+
+
+@register("f03_mode_impute", with_ctes(SPLIT_SQL) + """,
+mo AS (SELECT genre AS mg FROM train WHERE genre IS NOT NULL GROUP BY genre
+       ORDER BY count(*) DESC, genre LIMIT 1),
+ms AS (SELECT segment AS ms FROM train WHERE segment IS NOT NULL GROUP BY segment
+       ORDER BY count(*) DESC, segment LIMIT 1)
+SELECT track_key, coalesce(genre, mg) AS genre, coalesce(segment, ms) AS segment
+FROM test, mo, ms""")
+def f03_mode_impute(spark, sf):
+    """Most frequent training value (ties to the smallest) fills the gaps."""
+    train, test = split(spark, sf)
+    modes = FE.fit_modes(train, ["genre", "segment"])
+    return test.select("track_key", *[F.coalesce(F.col(c), F.lit(modes[c])).alias(c)
+                                      for c in ["genre", "segment"]])
+
+
+@register("f04_one_hot")
+def f04_one_hot(spark, sf):
+    """Sorted categories, unseen values encode as all zeros; rows-only check."""
+    from pyspark.ml.functions import vector_to_array
+    train, test = split(spark, sf)
+    pre = FE.fit_preprocessor(train, [], ["genre", "nation"])
+    out = pre.transform(test)
+    return out.select("track_key", vector_to_array("features").alias("one_hot"))
+
+
+@register("f05_preprocessor")
+def f05_preprocessor(spark, sf):
+    """Full preprocessing fitted on training rows, applied to the holdout."""
+    from pyspark.ml.functions import vector_to_array
+    train, test = split(spark, sf)
+    pre = FE.fit_preprocessor(train, NUMERIC, CATEGORICAL)
+    return pre.transform(test).select("track_key", vector_to_array("features").alias("features"))
+
+
+@register("p11_echo_numeric", with_ctes(FX.LABELLED_CTE) + """
+SELECT energy, tempo, acctbal FROM labelled""", doubles=["energy", "tempo", "acctbal"])
+def p11_echo_numeric(spark, sf):
+    return C.echo_numeric(FX.labelled_tracks(spark, sf), ["energy", "tempo", "acctbal"])
+
+
+@register("m10_select_best")
+def m10_select_best(spark, sf):
+    """The tuned row with the best cross-validated macro F1."""
+    comp = comparison_table(spark, sf).filter("is_baseline = 0")
+    return M.select_best(comp, "cv_f1_macro_mean")
