@@ -68,7 +68,10 @@ def case_control_match(df: DataFrame, label: str, time_col: str, group_col: str
     """
     g = F.coalesce(F.col(group_col).cast("string"), F.lit("unknown")) if group_col and \
         group_col in df.columns else F.lit("unknown")
-    base = df.withColumn("__year", F.year(F.col(time_col))).withColumn("__grp", g)
+    # Only four narrow columns take part in the ranking passes; freezing them once
+    # keeps the (possibly expensive) input from being recomputed for every pass.
+    base = (df.select(key, label, F.year(F.col(time_col)).alias("__year"), g.alias("__grp"))
+            .checkpoint())
     h = seeded_hash(key, seed)
     order = [h.asc(), F.col(key).asc()]
     pos = base.filter(F.col(label) == 1)
