@@ -157,65 +157,69 @@ def with_class_weight(df: DataFrame, label: str, weight_col: str = "weight") ->
 
 
 # SA4 ------------------------------------------------------------------------
-# Minority rows broadcast per block when searching neighbours; blocks are taken in
-# turn so every pair is still compared exactly once per query row.
-SMOTE_BLOCK_ROWS = 50_000
+# Minority rows are grouped into blocks of at most this many rows; every pair of
+# blocks meets once on an executor, so no block ever passes through the driver.
+SMOTE_BLOCK_ROWS = 2048
 
 
-def _knn_block(features: str, key: str, k: int, block: np.ndarray, block_keys: np.ndarray,
-               chunk: int = 256):
-    """mapInPandas body: exact k nearest rows of ``block`` for each query row."""
-    block_sq = (block ** 2).sum(axis=1)
-
+def _knn_block_pairs(k: int, key_type: T.DataType):
+    """mapInPandas body: for each (query block, candidate block) row, the k nearest
+    candidates of every query row (squared Euclidean distance, self excluded)."""
     def run(batches):
         for pdf in batches:
-            if pdf.empty:
-                continue
-            keys = pdf[key].to_numpy()
-            q_all = np.stack(pdf[features].to_numpy()).astype(np.float64)
-            for s in range(0, len(q_all), chunk):
-                q, qk = q_all[s:s + chunk], keys[s:s + chunk]
-                d = (q ** 2).sum(axis=1)[:, None] + block_sq[None, :] - 2.0 * q @ block.T
+            outs = []
+            for q, c in zip(pdf["__qrows"], pdf["__crows"]):
+                qk = np.array([r["k"] for r in q])
+                ck = np.array([r["k"] for r in c])
+                qx = np.array([np.asarray(r["v"], dtype=np.float64) for r in q])
+                cx = np.array([np.asarray(r["v"], dtype=np.float64) for r in c])
+                d = ((qx ** 2).sum(axis=1)[:, None] + (cx ** 2).sum(axis=1)[None, :]
+                     - 2.0 * qx @ cx.T)
                 d = np.maximum(d, 0.0)
-                d[qk[:, None] == block_keys[None, :]] = np.inf
-                kk = min(k, block.shape[0])
-                if kk < block.shape[0]:
-                    idx = np.argpartition(d, kk - 1, axis=1)[:, :kk]
-                else:
-                    idx = np.tile(np.arange(block.shape[0]), (len(q), 1))
+                d[qk[:, None] == ck[None, :]] = np.inf
+                kk = min(k, len(ck))
+                idx = (np.argpartition(d, kk - 1, axis=1)[:, :kk] if kk < len(ck)
+                       else np.tile(np.arange(len(ck)), (len(qk), 1)))
                 dist = np.take_along_axis(d, idx, axis=1)
-                ok = np.isfinite(dist)
-                yield pd.DataFrame({"__q": np.repeat(qk, idx.shape[1])[ok.ravel()],
-                                    "__nb": block_keys[idx.ravel()][ok.ravel()],
-                                    "__d": dist.ravel()[ok.ravel()]})
+                ok = np.isfinite(dist).ravel()
+                outs.append(pd.DataFrame({"__q": np.repeat(qk, idx.shape[1])[ok],
+                                          "__nb": ck[idx.ravel()][ok],
+                                          "__d": dist.ravel()[ok]}))
+            if outs:
+                yield pd.concat(outs, ignore_index=True)
     return run
 
 
 def minority_neighbours(minority: DataFrame, features: str, key: str, k: int = 5,
                         block_rows: int = SMOTE_BLOCK_ROWS) -> DataFrame:
-    """Exact k nearest minority neighbours of every minority row: (key, rank, neighbour).
-
-    Each block of at most ``block_rows`` rows is broadcast to the query partitions,
-    candidates from every block are merged per row and cut to k.  Nothing unbounded
-    is broadcast; larger minorities take more blocks, never fewer comparisons.
+    """Exact k nearest minority neighbours of every minority row: (key, nn_rank,
+    neighbour, distance).
+
+    Rows are numbered and packed into blocks of ``block_rows``; block pairs are
+    generated from the block count and joined to the packed blocks, so each pair of
+    blocks is compared once, on an executor, with numpy.  Candidates of each row from
+    all blocks are merged and cut to k.  Exact search compares every pair of rows;
+    the blocking keeps each comparison batch bounded, never the total.
     """
     spark = minority.sparkSession
+    key_type = minority.schema[key].dataType
     numbered = global_row_number(minority.select(key, features), [F.col(key)], "__i")
-    numbered = numbered.withColumn("__block", ((F.col("__i") - 1) / block_rows).cast("long"))
-    n_blocks = numbered.agg(F.max("__block")).first()[0]
-    n_blocks = 0 if n_blocks is None else int(n_blocks) + 1
-    schema = T.StructType([T.StructField("__q", minority.schema[key].dataType),
-                           T.StructField("__nb", minority.schema[key].dataType),
+    numbered = numbered.withColumn("__b", ((F.col("__i") - 1) / block_rows).cast("long"))
+    blocks = (numbered.groupBy("__b")
+              .agg(F.collect_list(F.struct(F.col(key).alias("k"), F.col(features).alias("v")))
+                   .alias("__rows"))).checkpoint()
+    n_blocks = blocks.count()
+    schema = T.StructType([T.StructField("__q", key_type), T.StructField("__nb", key_type),
                            T.StructField("__d", T.DoubleType())])
-    cands = None
-    for b in range(n_blocks):
-        blk = numbered.filter(F.col("__block") == b).select(key, features).toPandas()
-        mat = np.stack(blk[features].to_numpy()).astype(np.float64)
-        part = numbered.select(key, features).mapInPandas(
-            _knn_block(features, key, k, mat, blk[key].to_numpy()), schema)
-        cands = part if cands is None else cands.unionByName(part)
-    if cands is None:
+    if n_blocks == 0:
         return spark.createDataFrame([], schema)
+    pairs = spark.range(n_blocks * n_blocks).select(
+        (F.col("id") / n_blocks).cast("long").alias("__qb"),
+        (F.col("id") % n_blocks).alias("__cb"))
+    q = blocks.select(F.col("__b").alias("__qb"), F.col("__rows").alias("__qrows"))
+    c = blocks.select(F.col("__b").alias("__cb"), F.col("__rows").alias("__crows"))
+    work = pairs.join(q, "__qb").join(c, "__cb").select("__qrows", "__crows")
+    cands = work.mapInPandas(_knn_block_pairs(k, key_type), schema)
     best = (cands.groupBy("__q").agg(F.slice(F.array_sort(F.collect_list(
         F.struct("__d", "__nb"))), 1, k).alias("__top")))
     return (best.select(F.col("__q").alias(key), F.posexplode("__top").alias("nn_rank", "t"))

@@ -223,3 +223,19 @@ def test_extract_id_shapes(spark):
     got = [(r[0], r[1]) for r in df.select(ident, reason).collect()]
     assert got == [("abcDEF123", None), ("XYZ", None), ("A" * 22, None), (None, "invalid"),
                    (None, "empty")]
+
+
+def test_minority_neighbours_match_brute_force(spark):
+    rng = np.random.default_rng(3)
+    pts = rng.normal(size=(40, 4))
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(pts)],
+                               "k long, f array<double>")
+    nn = SA.minority_neighbours(df, "f", "k", k=3, block_rows=7)
+    got = {}
+    for r in nn.collect():
+        got.setdefault(r["k"], []).append((r["nn_rank"], r["neighbour"]))
+    d = ((pts[:, None, :] - pts[None, :, :]) ** 2).sum(axis=2)
+    np.fill_diagonal(d, np.inf)
+    for i in range(len(pts)):
+        want = list(np.argsort(d[i], kind="stable")[:3])
+        assert [n for _, n in sorted(got[i])] == want
