@@ -28,10 +28,24 @@ def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str] | Colum
 
 
 def attach(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
-    """Put two frames side by side when ``right`` is a single-row aggregate.
-
-    Joined on a constant key with ``right`` broadcast: its size bound is one row.
-    """
-    k = "__attach"
-    return (left.withColumn(k, F.lit(1))
-            .join(F.broadcast(right.withColumn(k, F.lit(1))), k, how).drop(k))
+    """Put the columns of a single-row aggregate next to every row of ``left``.
+
+    The one row is read back (a handful of scalars, like a fitted model's parameters)
+    and bound as typed literals, so the plan is a projection, not a join.  Nested
+    values fall back to a join with the one row broadcast."""
+    from pyspark.sql import types as T
+    rows = right.limit(2).collect()
+    if len(rows) > 1:
+        raise ValueError("attach expects a frame with at most one row")
+    fields = right.schema.fields
+    atomic = all(not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))
+                 for f in fields)
+    if not atomic:
+        k = "__attach"
+        return (left.withColumn(k, F.lit(1))
+                .join(F.broadcast(right.withColumn(k, F.lit(1))), k, how).drop(k))
+    if not rows:
+        out = left if how == "left" else left.limit(0)
+        return out.withColumns({f.name: F.lit(None).cast(f.dataType) for f in fields})
+    row = rows[0]
+    return left.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in fields})
