@@ -1,4 +1,4 @@
 """All queries of the training-data operators; importing this registers them."""
 
-from harrow.llm import q_quality, q_simhash, q_winnow  # noqa: F401
+from harrow.llm import q_privacy, q_quality, q_simhash, q_winnow  # noqa: F401
 from harrow.llm.registry import ORACLE, QUERIES  # noqa: F401
