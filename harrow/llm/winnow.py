@@ -52,18 +52,22 @@ def _choices(grams: Column, span: int) -> Column:
         x, *[F.get(grams, i + j) for j in range(1, span)]))
 
 
-def _runs(choices: Column, size: int) -> Column:
-    """Windows that follow each other with the same fingerprint as one struct: the
-    fingerprint, first window, last window, words of a window."""
-    starts = F.filter(
+def _starts(choices: Column) -> Column:
+    """Where the choice changes: the fingerprint and its first window."""
+    return F.filter(
         F.transform(choices, lambda x, i: F.when(
             (i == 0) | (x != F.get(choices, i - 1)),
             F.struct(x.alias("fp"), i.cast("int").alias("first")))),
         lambda s: s.isNotNull())
+
+
+def _runs(starts: Column, windows: Column, size: int) -> Column:
+    """Windows that follow each other with the same fingerprint as one struct: the
+    fingerprint, first window, last window, words of a window."""
     return F.transform(starts, lambda s, i: F.struct(
         s["fp"].alias("fp"), s["first"].alias("first"),
-        F.coalesce(F.get(starts, i + 1)["first"] - 1, F.size(choices) - 1).cast("int")
-        .alias("last"), F.lit(size).alias("size")))
+        (F.coalesce(F.get(starts, i + 1)["first"], windows) - 1).alias("last"),
+        F.lit(size).alias("size")))
 
 
 def _fingerprinted(rows: DataFrame, window: int, gram: int, short: list[int],
@@ -73,7 +77,9 @@ def _fingerprinted(rows: DataFrame, window: int, gram: int, short: list[int],
     step = step.select(*keep, F.size("words").cast("long").alias("n_words"), "h",
                        _grams(F.col("h"), gram).alias("g"))
     step = step.select(*keep, "n_words", "h", _choices(F.col("g"), window - gram + 1).alias("m"))
-    runs = [_runs(F.col("m"), window)]
+    # A column of its own: inside a lambda it would be evaluated for every element.
+    step = step.select(*keep, "n_words", "h", F.size("m").alias("c"), _starts(F.col("m")).alias("s"))
+    runs = [_runs(F.col("s"), F.col("c"), window)]
     for n in short:
         # Short lengths are rare; each gram is its own run.
         runs.append(F.transform(_grams(F.col("h"), n, F.lit(n)), lambda x, i, n=n: F.struct(
