@@ -1,7 +1,7 @@
 """All queries of the training-data operators; importing this registers them."""
 
 import corpus_pipeline
-from harrow.llm import q_chat, q_mixing, q_privacy, q_quality, q_simhash, q_winnow  # noqa: F401
+from harrow.llm import q_chat, q_mixing, q_privacy, q_quality, q_simhash, q_tokens, q_winnow  # noqa: F401
 from harrow.llm.registry import ORACLE, QUERIES, register  # noqa: F401
 
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
