@@ -1,8 +1,8 @@
 """All queries of the training-data operators; importing this registers them."""
 
 import corpus_pipeline
-from harrow.llm import (q_chat, q_mixing, q_privacy, q_quality, q_simhash, q_suffixes,  # noqa: F401
-                        q_tokens, q_winnow)
+from harrow.llm import (q_chat, q_lm, q_mixing, q_privacy, q_quality, q_simhash,  # noqa: F401
+                        q_suffixes, q_tokens, q_winnow)
 from harrow.llm.registry import ORACLE, QUERIES, register  # noqa: F401
 
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
