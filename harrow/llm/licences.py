@@ -76,7 +76,8 @@ def document_frequencies(files: DataFrame, text_col: str = "text") -> tuple[int,
             held[""] += len(batch)
             for text in batch["text"]:
                 held.update(wanted.intersection(terms(text)))
-        yield pd.DataFrame({"term": list(held), "n": list(held.values())}).astype({"n": "int64"})
+        if held:
+            yield pd.DataFrame({"term": list(held), "n": list(held.values())})
 
     rows = (files.select(F.col(text_col).cast("string").alias("text"))
             .mapInPandas(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")))
@@ -134,8 +135,9 @@ def own_licences(files: DataFrame, threshold: float = THRESHOLD, path_col: str =
     @F.pandas_udf("licence string, score double")
     def match(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
-            yield pd.DataFrame([matcher.best(t, threshold) for t in batch],
-                               columns=["licence", "score"]).astype({"score": "float64"})
+            found = [matcher.best(t, threshold) for t in batch]
+            yield pd.DataFrame({"licence": pd.Series([f[0] for f in found], dtype=object),
+                                "score": pd.Series([f[1] for f in found], dtype="float64")})
 
     rows = files.select(F.col(path_col).cast("string").alias("path"), *keep,
                         match(F.col(text_col).cast("string")).alias("m"))
