@@ -130,7 +130,9 @@ def find_overlaps(docs: DataFrame, bench: DataFrame, window: int = WINDOW, gram:
             .select(F.col("doc_id").alias("__i"), F.col("th").alias("__t"), "runs"))
     hits = stored(hits, "winnow-hits")
     same = F.col("doc_id").eqNullSafe(F.col("__i")) & (F.col("th") == F.col("__t"))
-    near = (rows.join(hits, same).select("doc_id", "th", "runs",
+    # Always by a shuffle: documents with hits grow with the corpus, so a plan that sends
+    # them to every executor at small sizes would not tell how it behaves at large ones.
+    near = (rows.join(hits.hint("merge"), same).select("doc_id", "th", "runs",
                                          words_col(F.col("text")).alias("words"))
             .select("doc_id", "th", F.explode(_window_texts(F.col("words"), F.col("runs")))
                     .alias("w")).select("doc_id", "th", "w.pos", "w.size", "w.words"))
@@ -176,4 +178,4 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id",
     rows = docs.select(F.struct(*cols).alias("__row"), F.col(id_col).cast("long").alias("__id"),
                        F.xxhash64(F.col(text_col).cast("string")).alias("__th"))
     same = F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__th") == F.col("__t"))
-    return rows.join(bad, same, "left_anti").select("__row.*")
+    return rows.join(bad.hint("merge"), same, "left_anti").select("__row.*")
