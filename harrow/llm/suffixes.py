@@ -43,8 +43,8 @@ LENGTH = 100
 GRAM = 24
 HOT = 20_000
 # Bytes of text that are hashed at once; longer texts are worked on in parts.
-PIECE = 4 << 20
-_SORT_ROWS = 20_000
+PIECE = 1 << 20
+_SORT_ROWS = 5_000
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _ONE, _SHIFT = np.uint64(1), np.uint64(32)
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
@@ -341,7 +341,7 @@ def _sort_groups(length: int):
     def settle(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame[frame.groupby("g")["g"].transform("size") > 1].reset_index(drop=True)
         if frame.empty:
-            return pd.DataFrame({"doc_id": [], "k": [], "p": [], "n": []}, dtype="int64")
+            return pd.DataFrame({c: pd.Series([], dtype="int64") for c in ("doc_id", "k", "p", "n")})
         size = frame["bytes"].str.len().to_numpy(np.int64)
         data = np.frombuffer(b"".join(frame["bytes"]), np.uint8)
         start = np.cumsum(size) - size
