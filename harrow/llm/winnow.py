@@ -70,6 +70,13 @@ def _runs(starts: Column, windows: Column, size: int) -> Column:
         F.lit(size).alias("size")))
 
 
+def _single_runs(grams: Column, size: int) -> Column:
+    """Runs of one window each, for the rare lengths below a whole window."""
+    return F.transform(grams, lambda x, i: F.struct(
+        x.alias("fp"), i.cast("int").alias("first"), i.cast("int").alias("last"),
+        F.lit(size).alias("size")))
+
+
 def _fingerprinted(rows: DataFrame, window: int, gram: int, short: list[int],
                    keep: list[str]) -> DataFrame:
     """``keep``, ``n_words`` and ``runs`` of rows that have a ``words`` column."""
@@ -80,11 +87,7 @@ def _fingerprinted(rows: DataFrame, window: int, gram: int, short: list[int],
     # A column of its own: inside a lambda it would be evaluated for every element.
     step = step.select(*keep, "n_words", "h", F.size("m").alias("c"), _starts(F.col("m")).alias("s"))
     runs = [_runs(F.col("s"), F.col("c"), window)]
-    for n in short:
-        # Short lengths are rare; each gram is its own run.
-        runs.append(F.transform(_grams(F.col("h"), n, F.lit(n)), lambda x, i, n=n: F.struct(
-            x.alias("fp"), i.cast("int").alias("first"), i.cast("int").alias("last"),
-            F.lit(n).alias("size"))))
+    runs += [_single_runs(_grams(F.col("h"), n, F.lit(n)), n) for n in short]
     return step.select(*keep, "n_words", F.concat(*runs).alias("runs"))
 
 
