@@ -270,7 +270,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.struct(*cols).alias("__row"), F.col(id_col).cast("long").alias("__id"),
                        F.xxhash64(F.col(text_col).cast("string")).alias("__th"))
     same = F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__th") == F.col("__t"))
-    out = rows.join(spans, same, "left").withColumn(
+    out = rows.join(spans.hint("merge"), same, "left").withColumn(
         "__text", change(F.col("__row").getField(text_col).cast("string"), F.col("__spans")))
     return out.select(*[F.col("__text").alias(c) if c == text_col else
                         F.col("__row").getField(c).alias(c) for c in docs.columns])

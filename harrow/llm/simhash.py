@@ -173,7 +173,9 @@ def links(prints: DataFrame, max_bits: int = 3, bucket: int = BUCKET) -> DataFra
     if not 0 <= max_bits <= 3:
         raise ValueError("two segments with one wildcard find up to 3 differing bits")
     big_batches(prints.sparkSession)
-    todo = prints.select("fp").distinct().select(
+    # A row becomes 64, so the distinct fingerprints stay spread over all partitions.
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    todo = prints.select("fp").distinct().repartition(parts, "fp").select(
         F.lit(0).cast("long").alias("key"), "fp", F.lit(0).alias("lo"), F.lit(64).alias("width"))
     found, first = None, True
     while True:
@@ -218,5 +220,5 @@ def keep_one_per_group(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
     rows = docs.select(F.struct(*cols).alias("__row"), F.col(id_col).cast("long").alias("__i"),
                        F.xxhash64(F.col(text_col).cast("string")).alias("__t"))
     match = F.col("__i").eqNullSafe(F.col("__id")) & (F.col("__t") == F.col("__th"))
-    return (rows.join(kept, match, "left_semi").dropDuplicates(["__i", "__t"])
+    return (rows.join(kept.hint("merge"), match, "left_semi").dropDuplicates(["__i", "__t"])
             .select("__row.*"))
