@@ -17,6 +17,7 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from harrow.functions.columns import number
 from harrow.operators.rank import exact_medians
 
 
@@ -44,7 +45,7 @@ def fit_numeric_stats(train: DataFrame, numeric: Sequence[str]) -> dict[str, dic
         return {}
     aggs = []
     for i, c in enumerate(kept):
-        v = F.coalesce(F.col(c).cast("double"), F.lit(med[c]))
+        v = F.coalesce(number(c), F.lit(med[c]))
         aggs += [F.avg(v).alias(f"m{i}"), F.stddev_pop(v).alias(f"s{i}")]
     row = train.agg(*aggs).first()
     out = {}
@@ -77,7 +78,8 @@ def fit_preprocessor(train: DataFrame, numeric: Sequence[str], categorical: Sequ
     """impute (median / most frequent), scale (ddof 0), one-hot, assemble."""
     stats = fit_numeric_stats(train, numeric)
     modes = fit_modes(train, categorical)
-    num_exprs = [f"(coalesce(CAST({_q(c)} AS DOUBLE), {_lit(s['median'])}) - {_lit(s['mean'])})"
+    num_exprs = [f"(coalesce(nanvl(CAST({_q(c)} AS DOUBLE), CAST(NULL AS DOUBLE)), "
+                 f"{_lit(s['median'])}) - {_lit(s['mean'])})"
                  f" / {_lit(s['scale'])} AS {_q('__num_' + c)}" for c, s in stats.items()]
     cat_exprs = [f"coalesce(CAST({_q(c)} AS STRING), {_lit(modes[c] if modes[c] is not None else '')})"
                  f" AS {_q('__cat_' + c)}" for c in categorical]
@@ -90,8 +92,8 @@ def fit_preprocessor(train: DataFrame, numeric: Sequence[str], categorical: Sequ
                                     outputCols=idx_cols, stringOrderType="alphabetAsc",
                                     handleInvalid="keep"))
         encoded = [f"__ohe_{c}" for c in categorical]
-        stages.append(OneHotEncoder(inputCols=idx_cols, outputCols=encoded, dropLast=True,
-                                    handleInvalid="keep"))
+        # The indexer's extra slot for unseen values is the last one, which is dropped.
+        stages.append(OneHotEncoder(inputCols=idx_cols, outputCols=encoded, dropLast=True))
     stages.append(VectorAssembler(inputCols=[f"__num_{c}" for c in stats] + encoded,
                                   outputCol=features_col, handleInvalid="keep"))
     return Pipeline(stages=stages).fit(train)
@@ -104,9 +106,10 @@ def drop_work_columns(df: DataFrame) -> DataFrame:
 
 def feature_names(model: PipelineModel, numeric: Sequence[str],
                   categorical: Sequence[str]) -> list[str]:
-    """Names of the assembled slots: numeric columns, then ``column_value`` per
-    one-hot slot (as used by M9)."""
-    names = [c for c in numeric]
+    """Names of the assembled slots: numeric columns that had values, then
+    ``column_value`` per one-hot slot (as used by M9)."""
+    slots = model.stages[-1].getInputCols()
+    names = [c for c in numeric if f"__num_{c}" in slots]
     indexers = [s for s in model.stages if s.__class__.__name__ == "StringIndexerModel"]
     if indexers:
         for c, labels in zip(categorical, indexers[0].labelsArray):

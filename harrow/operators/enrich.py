@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harrow.functions.columns import add_label, parse_release_date
-from harrow.operators.joins import broadcast_if_small
 
 # Nested record shapes of the catalog (fixed values).
 TRACK_SCHEMA = T.StructType([
@@ -58,7 +57,10 @@ def lookup_first_artist(tracks: DataFrame, artists: DataFrame, track: str = "tra
     keyed = tracks.withColumn("__aid", first_artist_id(track))
     one = (artists.groupBy(F.col(f"{artist}.id").alias("__aid"))
            .agg(F.min(F.col(artist)).alias(artist)))
-    return keyed.join(one, "__aid", "left").drop("__aid")
+    # Tracks without artists share the null key; they match nothing and stay out of the join.
+    found = keyed.where("__aid is not null").join(one, "__aid", "left").drop("__aid")
+    none = F.lit(None).cast(artists.schema[artist].dataType).alias(artist)
+    return found.unionByName(keyed.where("__aid is null").drop("__aid").select("*", none))
 
 
 def flatten_catalog(joined: DataFrame, track: str = "track", artist: str = "artist") -> DataFrame:
@@ -99,5 +101,5 @@ def enrich_left_join(facts: DataFrame, meta: DataFrame, key: str, order: Sequenc
     one = first_per_key(meta, key, order)
     if keep is not None:
         one = one.select(key, *[c for c in keep if c != key])
-    joined = facts.join(broadcast_if_small(one), key, "left")
+    joined = facts.join(one, key, "left")
     return add_label(joined, score_col, threshold, "hit")

@@ -1,51 +1,18 @@
-"""Joins whose small side is broadcast only after its size has been checked (J1-J3 helpers)."""
+"""One-row aggregates next to every row of a frame."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows above which a "small" side is no longer broadcast; the shuffle join (with AQE's
-# skew splitting) takes over beyond it.
-BROADCAST_ROW_LIMIT = 2_000_000
-
-
-def broadcast_if_small(small: DataFrame, limit_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast when ``small`` has at most ``limit_rows`` rows.
-
-    The count runs on the (already reduced) small side only.  Beyond the limit the
-    frame is returned unhinted and Catalyst / AQE pick a shuffle join.
-    """
-    n = small.count()
-    return F.broadcast(small) if n <= limit_rows else small
-
-
-def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str] | Column,
-               how: str = "left", limit_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    return big.join(broadcast_if_small(small, limit_rows), on, how)
-
 
-def attach(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
-    """Put the columns of a single-row aggregate next to every row of ``left``.
+def attach(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Put the columns of a frame of at most one row next to every row of ``left``.
 
-    The one row is read back (a handful of scalars, like a fitted model's parameters)
-    and bound as typed literals, so the plan is a projection, not a join.  Nested
-    values fall back to a join with the one row broadcast."""
-    from pyspark.sql import types as T
-    rows = right.limit(2).collect()
-    if len(rows) > 1:
-        raise ValueError("attach expects a frame with at most one row")
-    fields = right.schema.fields
-    atomic = all(not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))
-                 for f in fields)
-    if not atomic:
-        k = "__attach"
-        return (left.withColumn(k, F.lit(1))
-                .join(F.broadcast(right.withColumn(k, F.lit(1))), k, how).drop(k))
-    if not rows:
-        out = left if how == "left" else left.limit(0)
-        return out.withColumns({f.name: F.lit(None).cast(f.dataType) for f in fields})
-    row = rows[0]
-    return left.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in fields})
+    The row is a scalar subquery: nothing runs while the plan is built, and the plan is a
+    projection, not a join.  Without a row the new columns are null; more than one row is
+    an error when the query runs."""
+    row = right.select(F.struct(*[F.col(f"`{c}`") for c in right.columns]).alias("s")).scalar()
+    return (left.withColumn("__attached", row)
+            .select(*[F.col(f"`{c}`") for c in left.columns],
+                    *[F.col("__attached").getField(c).alias(c) for c in right.columns]))

@@ -21,7 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from harrow.session import checkpoint_dir
+from harrow.functions.columns import number
+from harrow.session import freeze
 
 _PID, _LOCAL, _OFF = "__pid", "__local", "__off"
 
@@ -36,34 +37,37 @@ def _order_cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def _freeze(df: DataFrame) -> DataFrame:
-    """Cut lineage into the shared checkpoint folder (never a local checkpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def _offsets(frozen: DataFrame, sums: dict[str, Column]) -> DataFrame:
     """Exclusive prefix over the per-partition totals (one row per partition)."""
     totals = frozen.groupBy(_PID).agg(*[expr.alias(name) for name, expr in sums.items()])
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(_PID, *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(
-        f"{_OFF}{name}") for name in sums])
+        f"{_OFF}{name}") for name in sums], F.col(next(iter(sums))).alias("__all"))
 
 
-def global_row_number(df: DataFrame, order: Sequence[str | Column], name: str = "row_number",
-                      partitions: int | None = None) -> DataFrame:
-    """1-based position of every row in ``order`` (ties broken by layout: pass a total order)."""
+def _laid_out(df: DataFrame, order: Sequence[str | Column], partitions: int | None) -> DataFrame:
+    """The rows in ``order`` over range partitions, frozen, with the partition and the
+    position in it."""
     cols = _order_cols(order)
-    n = _partitions(df, partitions)
-    ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    ranged = (df.repartitionByRange(_partitions(df, partitions), *cols).sortWithinPartitions(*cols)
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_LOCAL, F.monotonically_increasing_id()))
-    frozen = _freeze(ranged).withColumn(
+    return freeze(ranged).withColumn(
         _LOCAL, F.col(_LOCAL) - F.shiftleft(F.col(_PID).cast("long"), 33))
+
+
+def global_row_number(df: DataFrame, order: Sequence[str | Column], name: str = "row_number",
+                      partitions: int | None = None, total: str | None = None) -> DataFrame:
+    """1-based position of every row in ``order`` (ties broken by layout: pass a total
+    order), and the number of rows as ``total`` if asked for: both come from the frozen
+    partitions' counts, so the input is read once."""
+    frozen = _laid_out(df, order, partitions)
     offsets = _offsets(frozen, {"n": F.count(F.lit(1))})
-    return (frozen.join(F.broadcast(offsets), _PID)
-            .withColumn(name, F.col(f"{_OFF}n") + F.col(_LOCAL) + 1)
-            .drop(_PID, _LOCAL, f"{_OFF}n"))
+    if total:
+        offsets = offsets.withColumn(total, F.sum("__all").over(Window.partitionBy(F.lit(0))))
+    ranked = (frozen.join(F.broadcast(offsets.drop("__all")), _PID)
+              .withColumn(name, F.col(f"{_OFF}n") + F.col(_LOCAL) + 1))
+    return ranked.drop(_PID, _LOCAL, f"{_OFF}n")
 
 
 def ordered_cumsum(df: DataFrame, order: Sequence[str | Column], values: Sequence[str],
@@ -71,37 +75,61 @@ def ordered_cumsum(df: DataFrame, order: Sequence[str | Column], values: Sequenc
     """Inclusive running sums of ``values`` in ``order`` (order should be unique per row)."""
     cols = _order_cols(order)
     n = _partitions(df, partitions)
-    frozen = _freeze(df.repartitionByRange(n, *cols).withColumn(_PID, F.spark_partition_id()))
+    frozen = freeze(df.repartitionByRange(n, *cols).withColumn(_PID, F.spark_partition_id()))
     running = Window.partitionBy(_PID).orderBy(*cols).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = frozen.select("*", *[F.sum(v).over(running).alias(f"{_LOCAL}{v}") for v in values])
     offsets = _offsets(frozen, {v: F.sum(v) for v in values})
-    out = local.join(F.broadcast(offsets), _PID)
+    out = local.join(F.broadcast(offsets.drop("__all")), _PID)
     out = out.withColumns({f"{prefix}{v}": F.col(f"{_LOCAL}{v}") + F.col(f"{_OFF}{v}")
                            for v in values})
     return out.drop(_PID, *[f"{_LOCAL}{v}" for v in values], *[f"{_OFF}{v}" for v in values])
 
 
+# Quantiles that bracket the middle; any bracket gives the exact median, a narrow one
+# leaves few rows to sort.
+_BRACKET = (0.49, 0.51)
+
+
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Exact median per column (mean of the middle two), nulls and NaN skipped.
 
-    Values are counted per (column, value) first - partial aggregation collapses a
-    hot value before the shuffle - then located by running counts.  Returns a small
-    frame ``(feature, median, n)`` with one row per column that has values.
-    """
+    Approximate quantiles bracket the middle of every column, one aggregate counts what
+    lies below and inside the bracket, and only the distinct values inside are sorted and
+    located by running counts.  A column whose middle falls outside its bracket (the
+    quantiles are approximate) is located among all its values.  Returns a small frame
+    ``(feature, median, n)`` with one row per column that has values."""
     if not columns:
         raise ValueError("exact_medians needs at least one column")
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v"))
-        for c in columns]))
-    long = (df.select(pairs.alias("p")).select("p.feature", "p.v")
-            .filter(F.col("v").isNotNull() & ~F.isnan("v")))
-    counts = long.groupBy("feature", "v").agg(F.count(F.lit(1)).alias("c"))
-    cum = ordered_cumsum(counts, ["feature", "v"], ["c"])
-    stats = cum.groupBy("feature").agg(F.min(F.col("cum_c") - F.col("c")).alias("start"),
-                                       F.sum("c").alias("n"))
-    located = (cum.join(F.broadcast(stats), "feature")
-               .withColumn("first", F.col("cum_c") - F.col("c") - F.col("start"))
+    wide = df.select(*[number(c).alias(f"v{i}") for i, c in enumerate(columns)])
+    found = wide.agg(*[F.percentile_approx(f"v{i}", list(_BRACKET), 10000).alias(f"q{i}")
+                       for i in range(len(columns))]).first()
+    lo = [q[0] if (q := found[f"q{i}"]) else 0.0 for i in range(len(columns))]
+    hi = [q[1] if (q := found[f"q{i}"]) else 0.0 for i in range(len(columns))]
+    counts = wide.agg(*[x for i in range(len(columns)) for x in (
+        F.count(f"v{i}").alias(f"n{i}"), F.count_if(F.col(f"v{i}") < lo[i]).alias(f"b{i}"),
+        F.count_if((F.col(f"v{i}") >= lo[i]) & (F.col(f"v{i}") <= hi[i])).alias(f"m{i}"))]).first()
+    entries, meta = [], []
+    for i, c in enumerate(columns):
+        n, below, inside = (counts[f"{k}{i}"] for k in "nbm")
+        if not n:
+            continue
+        v = F.col(f"v{i}")
+        near = (v >= lo[i]) & (v <= hi[i])
+        if below > (n - 1) // 2 or below + inside <= n // 2:
+            near, below = v.isNotNull(), 0
+        meta.append((c, n, below))
+        entries.append(F.struct(F.lit(c).alias("feature"), F.when(near, v).alias("v")))
+    schema = "feature string, n long, below long"
+    sizes = df.sparkSession.createDataFrame(meta, schema)
+    if not entries:
+        return sizes.select("feature", F.lit(None).cast("double").alias("median"), "n")
+    values = (wide.select(F.explode(F.filter(F.array(*entries), lambda e: e["v"].isNotNull()))
+                          .alias("p")).groupBy("p.feature", "p.v").agg(F.count("*").alias("c")))
+    cum = ordered_cumsum(values, ["feature", "v"], ["c"])
+    start = cum.groupBy("feature").agg(F.min(F.col("cum_c") - F.col("c")).alias("start"))
+    located = (cum.join(F.broadcast(start), "feature").join(F.broadcast(sizes), "feature")
+               .withColumn("first", F.col("cum_c") - F.col("c") - F.col("start") + F.col("below"))
                .withColumn("last", F.col("first") + F.col("c") - 1)
                .withColumn("lo", F.floor((F.col("n") - 1) / 2))
                .withColumn("hi", F.floor(F.col("n") / 2)))
@@ -130,11 +158,10 @@ def temporal_split(df: DataFrame, time_col: str, tie_break: Sequence[str],
     Exact at any partition count: the cut is found with ``global_row_number`` on the
     total order (time, tie_break...).  Adds ``flag`` (0 train, 1 test) and keeps rows.
     """
-    n = df.count()
-    cut = int((1 - test_size) * n)
     order = [F.col(time_col).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tie_break]
-    ranked = global_row_number(df, order, "__rn")
-    return ranked.withColumn(flag, (F.col("__rn") > cut).cast("int")).drop("__rn")
+    ranked = global_row_number(df, order, "__rn", total="__n")
+    cut = F.floor(F.lit(float(1 - test_size)) * F.col("__n"))
+    return ranked.withColumn(flag, (F.col("__rn") > cut).cast("int")).drop("__rn", "__n")
 
 
 def top_k(df: DataFrame, score: str, k: int = 10, key: str | None = None,
@@ -204,17 +231,17 @@ def keep_latest(df: DataFrame, ts: str, n: int = 200, key: str | None = None) ->
 def drop_consecutive_repeats(df: DataFrame, partition: Sequence[str], order: Sequence[str],
                              signature: Sequence[str]) -> DataFrame:
     """Drop a record whose signature equals the previous record's in its partition
-    (null-safe).  The previous record comes from the exact global order (range
-    partitioned) and an equi-join on position - 1, so one busy session is spread over
-    many tasks instead of one window partition."""
-    ranked = global_row_number(df, list(partition) + list(order), "__p")
-    prev = ranked.select((F.col("__p") + 1).alias("__p"),
-                         *[F.col(c).alias(f"__prev_{c}") for c in list(partition) + list(signature)])
-    j = ranked.join(prev, "__p", "left")
-    same = None
-    for c in list(partition) + list(signature):
-        eq = F.col(c).eqNullSafe(F.col(f"__prev_{c}"))
-        same = eq if same is None else same & eq
-    drop = F.coalesce(same, F.lit(False))
-    extra = [f"__prev_{c}" for c in list(partition) + list(signature)]
-    return j.filter(~drop).drop("__p", *extra)
+    (null-safe).  The previous record is the one before it inside its frozen range
+    partition; only each partition's last row is carried over to the next one (one row
+    per partition, broadcast), so one busy session is spread over many tasks and the rows
+    are not joined to themselves."""
+    cols = [*partition, *signature]
+    frozen = _laid_out(df, [*partition, *order], None)
+    mine = F.struct(*[F.col(c) for c in cols])
+    last = frozen.groupBy(_PID).agg(F.max_by(mine, _LOCAL).alias("__s"))
+    carried = last.select(_PID, F.lag("__s").over(Window.orderBy(_PID)).alias("__carried"))
+    inside = F.lag(mine).over(Window.partitionBy(_PID).orderBy(_LOCAL))
+    j = frozen.withColumn("__inside", inside).join(F.broadcast(carried), _PID)
+    prev = F.coalesce("__inside", "__carried")
+    return j.filter(prev.isNull() | ~mine.eqNullSafe(prev)).drop(
+        _PID, _LOCAL, "__inside", "__carried")

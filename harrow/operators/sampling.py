@@ -3,7 +3,7 @@
 Random choices are ordered by ``md5(concat_ws('-', key, seed))`` then the key, so a
 run is reproducible and any SQL engine can reproduce it.  Ranks inside strata never
 use ``Window.partitionBy(stratum)``: one stratum may hold a third of the rows, so
-ranks come from the range-partitioned global order minus a per-stratum offset.
+ranks come from buckets of the hash plus a per-bucket offset.
 """
 
 from __future__ import annotations
@@ -12,12 +12,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harrow.operators.joins import attach, broadcast_if_small
-from harrow.operators.rank import global_row_number, ordered_cumsum
+from harrow.operators.joins import attach
+from harrow.operators.rank import global_row_number
+from harrow.session import freeze
 
 DEFAULT_SEED = 42
 
@@ -35,22 +36,33 @@ def seeded_uniform(key: str | Column, seed: int = DEFAULT_SEED, salt: str | None
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def rank_within(df: DataFrame, strata: Sequence[str], order: Sequence[Column],
-                name: str = "rank") -> DataFrame:
-    """1-based rank inside each stratum, skew-safe (no per-stratum window)."""
-    ranked = global_row_number(df, [F.col(s).asc_nulls_first() for s in strata] + list(order),
-                               "__g")
-    sizes = df.groupBy(*strata).agg(F.count(F.lit(1)).alias("__n"))
-    starts = ordered_cumsum(sizes, [F.col(s).asc_nulls_first() for s in strata], ["__n"])
-    starts = starts.select(*[F.col(s).alias(f"__s_{s}") for s in strata],
-                           (F.col("cum___n") - F.col("__n")).alias("__start"))
-    cond = None
-    for s in strata:
-        c = F.col(s).eqNullSafe(F.col(f"__s_{s}"))
-        cond = c if cond is None else cond & c
-    j = ranked.join(broadcast_if_small(starts), cond)
-    return (j.withColumn(name, F.col("__g") - F.col("__start"))
-            .drop("__g", "__start", *[f"__s_{s}" for s in strata]))
+# Leading hex digits of the seeded hash that bucket a stratum: 4,096 buckets each.
+BUCKET_DIGITS = 3
+
+
+def rank_within(df: DataFrame, strata: Sequence[str], key: str, seed: int = DEFAULT_SEED,
+                name: str = "rank", digits: int = BUCKET_DIGITS) -> DataFrame:
+    """1-based rank inside each stratum by (seeded hash, key), skew-safe.
+
+    Leading digits of the hash are buckets in the same order and of equal expected size.
+    Rows per bucket are counted (at most ``16 ** digits`` per stratum) and summed up; a
+    window inside (stratum, bucket) does the rest.  Rows and sums meet on one hash exchange
+    by (stratum, bucket), so a stratum with a third of the rows is thousands of groups."""
+    h = seeded_hash(key, seed)
+    rows = df.withColumns({"__h": h, "__b": F.substring(h, 1, digits),
+                           "__k": F.hash(*strata)})
+    on = [*strata, "__k", "__b"]
+    sizes = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*strata).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*[F.col(c).alias(f"__s_{c}") for c in on],
+                          F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    same = F.lit(True)
+    for c in on:
+        same = same & F.col(c).eqNullSafe(F.col(f"__s_{c}"))
+    local = F.row_number().over(Window.partitionBy(*on).orderBy("__h", key))
+    return (rows.withColumn("__r", local).join(starts, same)
+            .withColumn(name, F.col("__start") + F.col("__r"))
+            .drop("__h", "__r", "__start", "__k", "__b", *[f"__s_{c}" for c in on]))
 
 
 # SA1 ------------------------------------------------------------------------
@@ -70,27 +82,26 @@ def case_control_match(df: DataFrame, label: str, time_col: str, group_col: str
         group_col in df.columns else F.lit("unknown")
     # Only four narrow columns take part in the ranking passes; freezing them once
     # keeps the (possibly expensive) input from being recomputed for every pass.
-    base = (df.select(key, label, F.year(F.col(time_col)).alias("__year"), g.alias("__grp"))
-            .checkpoint())
-    h = seeded_hash(key, seed)
-    order = [h.asc(), F.col(key).asc()]
+    base = freeze(df.select(key, label, F.year(F.col(time_col)).alias("__year"),
+                            g.alias("__grp")))
     pos = base.filter(F.col(label) == 1)
     neg = base.filter(F.col(label) == 0)
     pos_ok = pos.filter(F.col("__year").isNotNull()).select(key, "__year", "__grp")
     neg_ok = neg.filter(F.col("__year").isNotNull()).select(key, "__year", "__grp")
 
-    p1 = rank_within(pos_ok, ["__year", "__grp"], order, "__r")
-    c1 = rank_within(neg_ok, ["__year", "__grp"], order, "__r")
-    pairs1 = p1.alias("p").join(c1.alias("c"), ["__year", "__grp", "__r"]).select(
-        F.col(f"p.{key}").alias("__pos"), F.col(f"c.{key}").alias("__ctl"))
+    p1 = rank_within(pos_ok, ["__year", "__grp"], key, seed, "__rank")
+    c1 = rank_within(neg_ok, ["__year", "__grp"], key, seed, "__rank")
+    pairs1 = freeze(p1.alias("p").join(c1.alias("c"), ["__year", "__grp", "__rank"]).select(
+        F.col(f"p.{key}").alias("__pos"), F.col(f"c.{key}").alias("__ctl")))
     left_p = pos_ok.join(pairs1.select(F.col("__pos").alias(key)), key, "left_anti")
     left_c = neg_ok.join(pairs1.select(F.col("__ctl").alias(key)), key, "left_anti")
-    p2 = rank_within(left_p, ["__year"], order, "__r")
-    c2 = rank_within(left_c, ["__year"], order, "__r")
-    pairs2 = p2.alias("p").join(c2.alias("c"), ["__year", "__r"]).select(
+    p2 = rank_within(left_p, ["__year"], key, seed, "__rank")
+    c2 = rank_within(left_c, ["__year"], key, seed, "__rank")
+    pairs2 = p2.alias("p").join(c2.alias("c"), ["__year", "__rank"]).select(
         F.col(f"p.{key}").alias("__pos"), F.col(f"c.{key}").alias("__ctl"))
-    pairs = (pairs1.withColumn("__pass", F.lit(1))
-             .unionByName(pairs2.withColumn("__pass", F.lit(2))))
+    # Two keys a row, read by the sample and by the report.
+    pairs = freeze(pairs1.withColumn("__pass", F.lit(1))
+                   .unionByName(pairs2.withColumn("__pass", F.lit(2))))
     chosen = (pairs.select(F.col("__pos").alias(key))
               .unionByName(pairs.select(F.col("__ctl").alias(key))))
     sample = df.join(chosen, key, "left_semi")
@@ -111,19 +122,24 @@ def case_control_match(df: DataFrame, label: str, time_col: str, group_col: str
 
 # SA2 ------------------------------------------------------------------------
 def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2,
-                     seed: int = DEFAULT_SEED, flag: str = "is_test") -> DataFrame:
+                     seed: int = DEFAULT_SEED, flag: str = "is_test",
+                     tiny_in_both: bool = False) -> DataFrame:
     """SA2: per class, rows in random order; the last ``n_c - int((1-test_size) n_c)``
-    go to test.  Under 8 rows, or a class under 2, train and test are both everything
-    (``flag`` = 2 marks such rows as in both)."""
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
-    total = sum(r["n"] for r in sizes)
-    if total < 8 or len(sizes) < 2 or min(r["n"] for r in sizes) < 2:
-        return df.withColumn(flag, F.lit(2))
-    ranked = rank_within(df, [label], [seeded_hash(key, seed).asc(), F.col(key).asc()], "__r")
-    per = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
+    go to test.
+
+    ``tiny_in_both`` is for very small training sets (as in M15): under 8 rows, or with a
+    class under 2, every row is in train and in test, marked by ``flag`` = 2."""
+    per = freeze(df.groupBy(label).agg(F.count(F.lit(1)).alias("__n")))  # a row per class
+    ranked = rank_within(df, [label], key, seed, "__rank")
     cut = F.floor(F.col("__n") * F.lit(1 - test_size))
-    j = ranked.join(F.broadcast(per), label)  # one row per class
-    return j.withColumn(flag, (F.col("__r") > cut).cast("int")).drop("__r", "__n")
+    out = (ranked.join(F.broadcast(per), label)
+           .withColumn(flag, (F.col("__rank") > cut).cast("int")).drop("__rank", "__n"))
+    if tiny_in_both:
+        sizes = per.agg(F.sum("__n").alias("n"), F.count("*").alias("k"), F.min("__n").alias("low"))
+        out = attach(out, sizes).withColumn(
+            flag, F.when((F.col("n") < 8) | (F.col("k") < 2) | (F.col("low") < 2), 2)
+            .otherwise(F.col(flag))).drop("n", "k", "low")
+    return out
 
 
 # SA3 ------------------------------------------------------------------------
@@ -131,8 +147,8 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5,
                      seed: int = DEFAULT_SEED, fold: str = "fold") -> DataFrame:
     """SA3: fold = (random rank inside the class - 1) mod k; class sizes per fold
     differ by at most one."""
-    ranked = rank_within(df, [label], [seeded_hash(key, seed).asc(), F.col(key).asc()], "__r")
-    return ranked.withColumn(fold, ((F.col("__r") - 1) % k).cast("int")).drop("__r")
+    ranked = rank_within(df, [label], key, seed, "__rank")
+    return ranked.withColumn(fold, ((F.col("__rank") - 1) % k).cast("int")).drop("__rank")
 
 
 # SA5 ------------------------------------------------------------------------
@@ -207,7 +223,8 @@ def minority_neighbours(minority: DataFrame, features: str, key: str, k: int = 5
     numbered = numbered.withColumn("__b", ((F.col("__i") - 1) / block_rows).cast("long"))
     blocks = (numbered.groupBy("__b")
               .agg(F.collect_list(F.struct(F.col(key).alias("k"), F.col(features).alias("v")))
-                   .alias("__rows"))).checkpoint()
+                   .alias("__rows")))
+    blocks = freeze(blocks)
     n_blocks = blocks.count()
     schema = T.StructType([T.StructField("__q", key_type), T.StructField("__nb", key_type),
                            T.StructField("__d", T.DoubleType())])
@@ -243,6 +260,8 @@ def smote(df: DataFrame, label: str, features: str, key: str, k: int = 5,
     minority_label = min(counts, key=lambda c: (counts[c], c))
     majority_label = max(counts, key=lambda c: (counts[c], -c))
     need = counts[majority_label] - counts[minority_label]
+    if need > 0 and counts[minority_label] <= k:
+        raise ValueError(f"{k} neighbours need more than {counts[minority_label]} minority rows")
     base = df.withColumn("synthetic", F.lit(0))
     if need <= 0:
         return base
@@ -254,7 +273,7 @@ def smote(df: DataFrame, label: str, features: str, key: str, k: int = 5,
     gen = gen.select(
         "__s",
         (F.floor(seeded_uniform("__s", seed, "base") * m) + 1).cast("long").alias("__i"),
-        F.floor(seeded_uniform("__s", seed, "nn") * min(k, max(m - 1, 1))).cast("int")
+        F.floor(seeded_uniform("__s", seed, "nn") * k).cast("int")
         .alias("nn_rank"),
         seeded_uniform("__s", seed, "step").alias("__u"))
     with_base = gen.join(idx.select("__i", F.col(key).alias("__bk"),

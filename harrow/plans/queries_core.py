@@ -295,7 +295,7 @@ def a06_date_quality(spark, sf):
 FLAG_CATS = ["genre", "artist"]
 
 
-@register("a07_quality_flags", with_ctes(RAW) + f""",
+A07_SQL = with_ctes(RAW) + f""",
 p AS (SELECT {PARSE} AS d, * FROM raw_tracks),
 s AS (SELECT count(*) AS n,
              count(*) FILTER (WHERE d > {FX.NOW_SQL}) AS future,
@@ -320,20 +320,29 @@ f AS (
   UNION ALL SELECT 6, 'warning', 'Sparse `genre`', v0, v0 / n, v0 < 0.5 FROM s
   UNION ALL SELECT 7, 'warning', 'High-cardinality `artist`', d1, d1 / n, d1 > 500 FROM s
   UNION ALL SELECT 8, 'warning', 'Sparse `artist`', v1, v1 / n, v1 < 0.5 FROM s)
-SELECT seq, severity, label, value, share FROM f WHERE keep""", doubles=["value", "share"])
+SELECT seq, severity, label, value, share FROM f WHERE keep"""
+
+
+@register("a07_quality_flags", A07_SQL, doubles=["value", "share"])
 def a07_quality_flags(spark, sf):
     return A.quality_flags(_raw(spark, sf), "first_week", FX.NOW, FX.DATE_FORMATS,
                            category_cols=FLAG_CATS)
 
 
 SUMMARY_NUMERIC = "track_key,artist_key,acctbal,energy,danceability,loudness,tempo,n_lines"
+_most_missing = " UNION ALL ".join(
+    f"SELECT '{c}' AS name, {i} AS pos, count(*) FILTER (WHERE \"{c}\" IS NULL) AS m FROM t"
+    for i, c in enumerate(RAW_COLUMNS + ["hit"]))
 _missing_sum = " + ".join(f'count(*) FILTER (WHERE "{c}" IS NULL)' for c in RAW_COLUMNS + ["hit"])
 
 
 @register("a08_dataset_summary", with_ctes(RAW) + f""",
 t AS (SELECT *, CAST(coalesce(popularity >= 400000.0, false) AS INTEGER) AS hit FROM raw_tracks),
 g AS (SELECT *, count(*) AS c FROM t GROUP BY ALL),
-dup AS (SELECT CAST(sum(c - 1) AS BIGINT) AS duplicates FROM g)
+dup AS (SELECT CAST(sum(c - 1) AS BIGINT) AS duplicates FROM g),
+mm AS (SELECT string_agg(name || ':' || CAST(m AS VARCHAR), '; ' ORDER BY m DESC, pos) AS most_missing
+       FROM (SELECT * FROM ({_most_missing}) AS x WHERE m > 0 ORDER BY m DESC, pos LIMIT 12) AS y),
+fl AS (SELECT string_agg(severity || ':' || label, '; ' ORDER BY seq) AS flags FROM ({A07_SQL}) AS z)
 SELECT count(*) AS rows, CAST(16 AS BIGINT) AS columns,
        count(*) FILTER (WHERE hit = 1) AS hits, count(*) FILTER (WHERE hit = 0) AS flops,
        count(*) FILTER (WHERE hit = 1) / count(*) AS hit_rate,
@@ -341,11 +350,13 @@ SELECT count(*) AS rows, CAST(16 AS BIGINT) AS columns,
        strftime(max({PARSE}), '%Y-%m-%d') AS date_max,
        CAST({_missing_sum} AS BIGINT) AS missing_total,
        any_value(duplicates) AS duplicates,
-       '{SUMMARY_NUMERIC}' AS numeric_features
-FROM t, dup""", doubles=["hit_rate"])
+       '{SUMMARY_NUMERIC}' AS numeric_features, any_value(most_missing) AS most_missing,
+       any_value(flags) AS flags
+FROM t, dup, mm, fl""", doubles=["hit_rate"])
 def a08_dataset_summary(spark, sf):
     df = C.add_label(_raw(spark, sf), "popularity", FX.LABEL_THRESHOLD)
-    return A.dataset_summary(df, "hit", "first_week", FX.DATE_FORMATS, C.LEAKAGE_COLUMNS)
+    return A.dataset_summary(df, "hit", "first_week", FX.DATE_FORMATS, C.LEAKAGE_COLUMNS, FX.NOW,
+                             category_cols=FLAG_CATS)
 
 
 def _hist_sql(source: str, value: str, bins: int, fixed: tuple[float, float] | None,
@@ -456,7 +467,7 @@ per AS (SELECT nation, count(*) AS rows, avg(CAST(hit AS DOUBLE)) AS rate FROM l
         WHERE nation IS NOT NULL GROUP BY nation ORDER BY rows DESC, nation LIMIT 15),
 tot AS (SELECT count(DISTINCT nation) AS "distinct",
                avg(CAST(nation IS NOT NULL AS DOUBLE)) AS coverage FROM labelled)
-SELECT 'nation' AS column_name, substr(nation, 1, 44) AS label, rows, rate, "distinct", coverage
+SELECT 'nation' AS column_name, nation AS value, substr(nation, 1, 44) AS label, rows, rate, "distinct", coverage
 FROM per, tot""", doubles=["rate", "coverage"])
 def a14_category_distribution(spark, sf):
     return A.category_distribution(_lab(spark, sf), "nation", "hit", top=15)

@@ -98,15 +98,20 @@ def e03_roc_curve(spark, sf):
     return E.roc_curve(FX.scored(spark, sf))
 
 
+# From the definition: at threshold t, the share of positives among scores >= t, and the
+# share of all positives that these are.
 PR_SQL = """,
-ptot AS (SELECT max(tps) AS P FROM cu),
-ff AS (SELECT min(idx) AS last, any_value(P) AS P FROM cu, ptot WHERE tps = P),
+thr AS (SELECT score AS t, sum(pos) AS p, sum(pos + neg) AS n FROM (
+  SELECT y_score AS score, CAST(y_true = 1 AS INTEGER) AS pos, CAST(y_true <> 1 AS INTEGER) AS neg
+  FROM scored WHERE y_score IS NOT NULL AND y_true IS NOT NULL) AS x GROUP BY score),
 pr AS (
-  SELECT last - idx AS position, score AS threshold, tps / (tps + fps) AS precision,
-         CASE WHEN P > 0 THEN tps / P END AS recall
-  FROM cu, ff WHERE idx <= last
+  SELECT row_number() OVER (ORDER BY t) - 1 AS position, t AS threshold,
+         CAST(sum(p) OVER (ORDER BY t DESC) AS DOUBLE) / sum(n) OVER (ORDER BY t DESC) AS precision,
+         CASE WHEN sum(p) OVER () > 0 THEN CAST(sum(p) OVER (ORDER BY t DESC) AS DOUBLE)
+              / sum(p) OVER () END AS recall
+  FROM thr
   UNION ALL
-  SELECT last, NULL, 1.0, 0.0 FROM ff)"""
+  SELECT count(*), NULL, 1.0, 0.0 FROM thr)"""
 
 
 @register("e04_pr_curve", with_ctes(SC, groups_sql("scored")) + PR_SQL + """

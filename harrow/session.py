@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for every job in the library.  Shuffle partitions are sized
 # for local runs here; on a cluster the caller's session settings win.
@@ -29,7 +29,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("HARROW_DRIVER_MEMORY", "16g"))
+    builder = builder.config("spark.driver.memory", os.environ.get("HARROW_DRIVER_MEMORY", "8g"))
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -41,7 +41,8 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (tests, laptops) do we make a local one.
+    A machine-local folder is made only for ``local`` masters (tests, laptops): on a
+    cluster other executors could not read it, so there the setting is required.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,11 +51,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
+    elif sc.master.startswith("local[") or sc.master == "local":
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="harrow-ckpt-"))
+    else:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return sc.getCheckpointDir()
 
 
+def freeze(df: DataFrame) -> DataFrame:
+    """Cut lineage into the shared checkpoint folder (never a local checkpoint)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
