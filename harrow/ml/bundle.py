@@ -12,6 +12,8 @@ from harrow.operators import evaluate as E
 from harrow.operators import profile as A
 from harrow.operators.rank import temporal_split
 from harrow.operators.sampling import stratified_split
+from harrow.operators.signal import TIME_FEATURES, time_domain_features
+from harrow.session import freeze
 from harrow.sources.io import save_bundle
 
 
@@ -34,18 +36,21 @@ def _pick(train, test, numeric, categorical, label, key, candidates):
 
 def bundle_metadata(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                     label: str) -> DataFrame:
-    """Per-feature metadata: ranges, medians, class means (A16) and options."""
-    prof = A.feature_profile(train, list(numeric), label).select(
-        "feature", F.lit("numeric").alias("kind"), "lo", "hi", "median", "pos_mean", "neg_mean",
-        F.lit(None).cast("array<string>").alias("options"))
-    if not categorical:
-        return prof
-    opts = (A.category_options(train, categorical).groupBy("column_name")
-            .agg(F.array_sort(F.collect_list("value")).alias("options")))
-    cats = opts.select(F.col("column_name").alias("feature"), F.lit("categorical").alias("kind"),
-                       *[F.lit(None).cast("double").alias(c) for c in
-                         ("lo", "hi", "median", "pos_mean", "neg_mean")], "options")
-    return prof.unionByName(cats)
+    """Per-feature metadata: one row per numeric feature with its range, median and class
+    means (A16), and one row per option of a text feature (A17)."""
+    numbers = [F.lit(None).cast("double").alias(c) for c in
+               ("lo", "hi", "median", "pos_mean", "neg_mean")]
+    out = None
+    if numeric:
+        out = A.feature_profile(train, list(numeric), label).select(
+            "feature", F.lit("numeric").alias("kind"), "lo", "hi", "median", "pos_mean",
+            "neg_mean", F.lit(None).cast("string").alias("option"))
+    if categorical:
+        opts = A.category_options(train, categorical).select(
+            F.col("column_name").alias("feature"), F.lit("categorical").alias("kind"), *numbers,
+            F.col("value").alias("option"))
+        out = opts if out is None else out.unionByName(opts)
+    return out
 
 
 def train_bundle(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str,
@@ -64,24 +69,34 @@ def train_bundle(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
     return info
 
 
-def train_from_signals(df: DataFrame, samples: str, key: str, label: str,
+def train_from_signals(df: DataFrame, samples: str, key: str, label: str, path: str,
+                       features: Sequence[str] = TIME_FEATURES,
                        candidates: Sequence[str] = ("logistic_regression", "random_forest")
                        ) -> DataFrame:
-    """Signal features per row, both classes required, stratified 25% holdout
-    (everything on both sides for tiny sets), best candidate by holdout macro F1."""
-    from harrow.operators.signal import SIGNAL_FEATURES, signal_features
-    feats = signal_features(df, samples, key).join(df.select(key, label), key)
-    counts = feats.agg(F.count_if(F.col(label) == 1).alias("p"),
-                       F.count_if(F.col(label) == 0).alias("n")).first()
-    if counts["p"] == 0 or counts["n"] == 0:
-        raise ValueError("Need at least one example of both classes.")
-    s = stratified_split(feats, label, key, 0.25)
+    """Time-domain signal features per row, both classes required, stratified 25%
+    holdout (every row on both sides for tiny sets), best candidate by holdout macro F1,
+    saved as a bundle with the features' ranges, profiles and medians.
+
+    A row without samples stops the job and names how many there are: training on zeros in
+    place of a failed file would be silent damage."""
+    feats = freeze(time_domain_features(df, samples).select(
+        key, label, F.size(F.col(samples)).alias("__size"), *features))
+    c = feats.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"),
+                  F.count_if(F.coalesce(F.col("__size"), F.lit(-1)) <= 0).alias("bad")).first()
+    if c["bad"]:
+        raise ValueError(f"{c['bad']} files have no samples; remove or re-encode them first")
+    if c["p"] == 0 or c["n"] == 0:
+        raise ValueError("training needs rows of both classes")
+    s = freeze(stratified_split(feats.drop("__size"), label, key, 0.25, tiny_in_both=True))
     train = s.filter(F.col("is_test").isin(0, 2)).drop("is_test")
     test = s.filter(F.col("is_test").isin(1, 2)).drop("is_test")
-    model, name, f1 = _pick(train, test, list(SIGNAL_FEATURES), [], label, key, candidates)
-    spark = df.sparkSession
-    return spark.createDataFrame(
-        [(name, f1, int(counts["p"] + counts["n"]), "local_audio", int(counts["p"]),
-          int(counts["n"]))],
+    model, name, f1 = _pick(train, test, list(features), [], label, key, candidates)
+    info = {"model_name": name, "f1_macro": f1, "feature_columns": list(features),
+            "numeric_columns": list(features), "categorical_columns": [],
+            "trained_on": "local_audio", "n_train_songs": int(c["p"] + c["n"]),
+            "n_hit": int(c["p"]), "n_not_hit": int(c["n"])}
+    save_bundle(model.pipeline(), bundle_metadata(train, list(features), [], label), info, path)
+    return df.sparkSession.createDataFrame(
+        [(name, f1, info["n_train_songs"], "local_audio", info["n_hit"], info["n_not_hit"])],
         "model_name string, f1_macro double, n_train_songs long, trained_on string, "
         "n_hit long, n_not_hit long")

@@ -269,7 +269,9 @@ def model_comparison(baselines: DataFrame, tuned: DataFrame) -> DataFrame:
 # E11 ------------------------------------------------------------------------
 def hypothesis_verdicts(comparison: DataFrame, fairness: DataFrame,
                         majority: str = "baseline_majority_class",
-                        random_name: str = "baseline_stratified_random") -> DataFrame:
+                        random_name: str = "baseline_stratified_random",
+                        ensembles: Sequence[str] = ENSEMBLE_FAMILIES,
+                        linear: str = LINEAR_FAMILY) -> DataFrame:
     """H1 (accuracy > 0.70, beats random, beats majority), H2 (best ensemble's CV
     mean beats the linear model's by more than the summed std), H3 (disparity > 0.1)."""
     tuned = comparison.filter(F.col("is_baseline") == 0)
@@ -277,7 +279,7 @@ def hypothesis_verdicts(comparison: DataFrame, fairness: DataFrame,
     b = base.agg(F.max(F.when(F.col("model") == majority, F.col("accuracy"))).alias("acc_major"),
                  F.max(F.when(F.col("model") == random_name, F.col("accuracy"))).alias("acc_rand"),
                  F.max(F.when(F.col("model") == majority, F.col("f1_macro"))).alias("f1_major"))
-    ens = F.col("model").isin(*ENSEMBLE_FAMILIES)
+    ens = F.col("model").isin(*ensembles)
     t = tuned.agg(
         F.max("accuracy").alias("best_accuracy"),
         F.max_by("model", F.struct(F.col("accuracy"), (-F.col("seq")).alias("s")))
@@ -286,8 +288,8 @@ def hypothesis_verdicts(comparison: DataFrame, fairness: DataFrame,
         F.max_by(F.when(ens, F.struct("cv_f1_macro_mean", "cv_f1_macro_std", "model")),
                  F.when(ens, F.struct(F.col("cv_f1_macro_mean"), (-F.col("seq")).alias("s"))))
         .alias("ens"),
-        F.max(F.when(F.col("model") == LINEAR_FAMILY, F.col("cv_f1_macro_mean"))).alias("lr_mean"),
-        F.max(F.when(F.col("model") == LINEAR_FAMILY, F.col("cv_f1_macro_std"))).alias("lr_std"))
+        F.max(F.when(F.col("model") == linear, F.col("cv_f1_macro_mean"))).alias("lr_mean"),
+        F.max(F.when(F.col("model") == linear, F.col("cv_f1_macro_std"))).alias("lr_std"))
     j = attach(attach(t, b), fairness.select("f1_disparity"))
     margin = F.col("ens.cv_f1_macro_mean") - F.col("lr_mean")
     noise = F.col("ens.cv_f1_macro_std") + F.col("lr_std")

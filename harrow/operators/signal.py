@@ -3,17 +3,14 @@
 The time-domain features (RMS energy, loudness in dB, zero-crossing rate) are Spark
 higher-order array functions: they run in the JVM on each row's sample array, with
 the framing rules of the common audio toolkits (centred frames of 2048 samples, hop
-512; zero padding for RMS, edge padding for the crossing rate).  The spectral
-features need an FFT per frame, so they run in ``mapInPandas`` (numpy, one Arrow
-batch of files at a time).  Spark partitions and shuffles the files; numpy only
-handles one file's frames.
+512; zero padding for RMS, edge padding for the crossing rate).  Spectral features are
+not computed; a table that carries them keeps them (see the README).
 """
 
 from __future__ import annotations
 
 import io
 import wave
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from harrow.functions.columns import SIGNAL_FEATURES
+
 # Fixed values of the feature definitions.
 SAMPLE_RATE = 22050
 FRAME_LENGTH = 2048
@@ -28,12 +27,7 @@ HOP_LENGTH = 512
 AMIN = 1e-5
 TOP_DB = 80.0
 ZC_THRESHOLD = 1e-10
-ROLL_PERCENT = 0.85
-N_MELS = 128
-N_MFCC = 13
-SIGNAL_FEATURES = (["tempo", "energy", "loudness_db", "zcr", "spectral_centroid",
-                    "spectral_rolloff", "spectral_bandwidth", "chroma"]
-                   + [f"mfcc_{i}" for i in range(1, N_MFCC + 1)])
+TIME_FEATURES = ("energy", "loudness_db", "zcr")
 
 
 def _n_frames(n: Column) -> Column:
@@ -88,125 +82,6 @@ def time_domain_features(df: DataFrame, samples: str) -> DataFrame:
     })
 
 
-# --- spectral part (mapInPandas) -------------------------------------------------
-
-def _hz_to_mel(f):
-    f = np.asanyarray(f, dtype=np.float64)
-    f_sp = 200.0 / 3
-    mels = f / f_sp
-    min_log_hz, logstep = 1000.0, np.log(6.4) / 27.0
-    min_log_mel = min_log_hz / f_sp
-    return np.where(f >= min_log_hz, min_log_mel + np.log(np.maximum(f, 1e-12) / min_log_hz)
-                    / logstep, mels)
-
-
-def _mel_to_hz(m):
-    m = np.asanyarray(m, dtype=np.float64)
-    f_sp = 200.0 / 3
-    min_log_hz, logstep = 1000.0, np.log(6.4) / 27.0
-    min_log_mel = min_log_hz / f_sp
-    return np.where(m >= min_log_mel, min_log_hz * np.exp(logstep * (m - min_log_mel)), f_sp * m)
-
-
-def mel_filterbank(sr: int = SAMPLE_RATE, n_fft: int = FRAME_LENGTH, n_mels: int = N_MELS):
-    """Triangular mel filters with area normalisation (Slaney scale)."""
-    fft_freqs = np.linspace(0, sr / 2, 1 + n_fft // 2)
-    mel_f = _mel_to_hz(np.linspace(_hz_to_mel(0.0), _hz_to_mel(sr / 2.0), n_mels + 2))
-    fdiff = np.diff(mel_f)
-    ramps = mel_f[:, None] - fft_freqs[None, :]
-    lower = -ramps[:-2] / fdiff[:-1, None]
-    upper = ramps[2:] / fdiff[1:, None]
-    weights = np.maximum(0, np.minimum(lower, upper))
-    weights *= (2.0 / (mel_f[2:n_mels + 2] - mel_f[:n_mels]))[:, None]
-    return weights
-
-
-def _dct2_ortho(x: np.ndarray, n_out: int) -> np.ndarray:
-    """DCT-II with orthonormal scaling along axis 0, first ``n_out`` coefficients."""
-    n = x.shape[0]
-    k = np.arange(n_out)[:, None]
-    basis = np.cos(np.pi * k * (2 * np.arange(n)[None, :] + 1) / (2 * n))
-    out = basis @ x
-    out[0] *= np.sqrt(1.0 / n)
-    out[1:] *= np.sqrt(2.0 / n)
-    return out
-
-
-def spectral_features_of(y: np.ndarray, sr: int = SAMPLE_RATE) -> dict[str, float]:
-    """Centroid, rolloff, bandwidth, chroma and MFCC means of one signal."""
-    y = np.asarray(y, dtype=np.float64)
-    pad = FRAME_LENGTH // 2
-    yp = np.pad(y, pad, mode="constant")
-    n_frames = 1 + (len(yp) - FRAME_LENGTH) // HOP_LENGTH
-    window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(FRAME_LENGTH) / FRAME_LENGTH)
-    idx = np.arange(FRAME_LENGTH)[None, :] + HOP_LENGTH * np.arange(n_frames)[:, None]
-    S = np.abs(np.fft.rfft(yp[idx] * window, axis=1)).T  # (bins, frames)
-    freq = np.linspace(0, sr / 2, 1 + FRAME_LENGTH // 2)
-    total = S.sum(axis=0)
-    norm = np.where(total > 0, S / np.where(total > 0, total, 1), 0)
-    centroid = (freq[:, None] * norm).sum(axis=0)
-    bandwidth = np.sqrt((norm * (freq[:, None] - centroid[None, :]) ** 2).sum(axis=0))
-    cum = np.cumsum(S, axis=0)
-    thresh = ROLL_PERCENT * cum[-1]
-    ind = np.where(cum < thresh[None, :], np.nan, 1.0)
-    rolloff = np.nanmin(ind * freq[:, None], axis=0)
-    power = S ** 2
-    mel = mel_filterbank(sr) @ power
-    db = 10 * np.log10(np.maximum(1e-10, mel))
-    db = np.maximum(db, db.max() - TOP_DB)
-    mfcc = _dct2_ortho(db, N_MFCC)
-    # Chroma: power folded onto 12 pitch classes (A440 reference), frame-normalised.
-    with np.errstate(divide="ignore"):
-        pitch = np.round(12 * np.log2(np.where(freq > 0, freq, np.nan) / 440.0)) % 12
-    chroma = np.zeros((12, n_frames))
-    for c in range(12):
-        chroma[c] = power[pitch == c].sum(axis=0)
-    peak = chroma.max(axis=0)
-    chroma = np.where(peak > 0, chroma / np.where(peak > 0, peak, 1), 0)
-    out = {"spectral_centroid": float(centroid.mean()), "spectral_rolloff": float(np.nanmean(rolloff)),
-           "spectral_bandwidth": float(bandwidth.mean()), "chroma": float(chroma.mean())}
-    for i in range(N_MFCC):
-        out[f"mfcc_{i + 1}"] = float(mfcc[i].mean())
-    return out
-
-
-SPECTRAL = ["spectral_centroid", "spectral_rolloff", "spectral_bandwidth", "chroma"] + [
-    f"mfcc_{i}" for i in range(1, N_MFCC + 1)]
-
-
-def spectral_features(df: DataFrame, samples: str, key: str, sr: int = SAMPLE_RATE) -> DataFrame:
-    """G1 (spectral): one row per file with the spectral means; failures give zeros
-    and an ``audio_warning`` (G2)."""
-    key_type = df.schema[key].dataType
-    schema = T.StructType([T.StructField(key, key_type)] +
-                          [T.StructField(c, T.DoubleType()) for c in SPECTRAL] +
-                          [T.StructField("audio_warning", T.StringType())])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for k, y in zip(pdf[key], pdf[samples]):
-                try:
-                    if y is None or len(y) == 0:
-                        raise ValueError("no samples")
-                    feats, warn = spectral_features_of(np.asarray(y), sr), None
-                except Exception as exc:  # one bad file never fails the job
-                    feats, warn = {c: 0.0 for c in SPECTRAL}, str(exc)[:200]
-                rows.append({key: k, **feats, "audio_warning": warn})
-            yield pd.DataFrame(rows, columns=[f.name for f in schema.fields])
-    return df.select(key, samples).mapInPandas(run, schema)
-
-
-def signal_features(df: DataFrame, samples: str, key: str, tempo: str | None = None,
-                    sr: int = SAMPLE_RATE) -> DataFrame:
-    """G1: all signal features per row; ``tempo`` passes through if given, else null."""
-    td = time_domain_features(df.select(key, samples, *([tempo] if tempo else [])), samples)
-    td = td.withColumn("tempo", F.col(tempo).cast("double") if tempo else F.lit(None)
-                       .cast("double"))
-    sp = spectral_features(df, samples, key, sr)
-    return td.drop(samples).join(sp, key)
-
-
 def zero_features(df: DataFrame, warning: str | None = None) -> DataFrame:
     """Absent or failed signal features become 0.0; the reason goes to
     ``audio_warning``."""
@@ -222,29 +97,36 @@ def zero_features(df: DataFrame, warning: str | None = None) -> DataFrame:
     return out.withColumns(cols)
 
 
-def decode_wav(content: bytes) -> np.ndarray:
-    """PCM WAV bytes to mono float samples in [-1, 1] (standard library only)."""
-    with wave.open(io.BytesIO(content)) as w:
-        n, ch, width = w.getnframes(), w.getnchannels(), w.getsampwidth()
-        raw = w.readframes(n)
-    dtype = {1: np.uint8, 2: np.int16, 4: np.int32}[width]
-    x = np.frombuffer(raw, dtype=dtype).astype(np.float64)
-    if width == 1:
-        x = (x - 128) / 128.0
-    else:
-        x = x / float(2 ** (8 * width - 1))
-    return x.reshape(-1, ch).mean(axis=1) if ch > 1 else x
-
-
-def decode_wav_column(df: DataFrame, content: str = "content", out: str = "samples") -> DataFrame:
-    """WAV bytes from the binaryFile source to ``array<double>`` samples (pandas UDF)."""
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def dec(col: pd.Series) -> pd.Series:
-        res = []
-        for b in col:
-            try:
-                res.append(decode_wav(bytes(b)).tolist())
-            except Exception:
-                res.append(None)
-        return pd.Series(res)
-    return df.withColumn(out, dec(F.col(content)))
+def decode_wav(content: bytes) -> tuple[list[float] | None, str | None]:
+    """PCM WAV bytes to mono samples in [-1, 1], or the reason why not.  Only 8, 16 and
+    32 bits at the features' sample rate are read: frames of another rate would mean other
+    times."""
+    try:
+        with wave.open(io.BytesIO(content)) as w:
+            rate, ch, width = w.getframerate(), w.getnchannels(), w.getsampwidth()
+            raw = w.readframes(w.getnframes())
+    except (wave.Error, EOFError) as exc:
+        return None, f"not a readable WAV file: {exc}"
+    if rate != SAMPLE_RATE:
+        return None, f"sample rate {rate}, expected {SAMPLE_RATE}"
+    if width not in (1, 2, 4):
+        return None, f"{8 * width}-bit samples are not read"
+    x = np.frombuffer(raw, {1: np.uint8, 2: np.int16, 4: np.int32}[width]).astype(np.float64)
+    x = (x - 128) / 128.0 if width == 1 else x / float(2 ** (8 * width - 1))
+    return (x.reshape(-1, ch).mean(axis=1) if ch > 1 else x).tolist(), None
+
+
+def decode_wav_column(df: DataFrame, content: str = "content", out: str = "samples",
+                      warning: str = "audio_warning") -> DataFrame:
+    """WAV bytes from the binaryFile source to ``array<double>`` samples, and the reason
+    where a file cannot be decoded (one pandas UDF)."""
+    schema = T.StructType([T.StructField("s", T.ArrayType(T.DoubleType())),
+                           T.StructField("w", T.StringType())])
+
+    @F.pandas_udf(schema)
+    def dec(col: pd.Series) -> pd.DataFrame:
+        rows = [decode_wav(bytes(b)) if b is not None else (None, "no content") for b in col]
+        return pd.DataFrame({"s": pd.Series([r[0] for r in rows], dtype=object),
+                             "w": pd.Series([r[1] for r in rows], dtype=object)})
+    return (df.withColumn("__dec", dec(F.col(content)))
+            .withColumns({out: F.col("__dec.s"), warning: F.col("__dec.w")}).drop("__dec"))

@@ -11,9 +11,10 @@ from harrow.operators import evaluate as E
 from harrow.operators import profile as A
 from harrow.operators import rank as W
 from harrow.operators import sampling as SA
+from harrow.operators.joins import attach
 from harrow.plans import fixtures as FX
 from harrow.plans.catalog import register, with_ctes
-from harrow.plans.queries_eval import M as MACRO, groups_sql
+from harrow.plans.queries_eval import M as MACRO, by_group_sql, counts_sql, fairness_sql, groups_sql
 
 NUMERIC = ["energy", "danceability", "loudness", "tempo", "acctbal"]
 CATEGORICAL = ["genre", "nation", "segment"]
@@ -121,18 +122,17 @@ def _folds(spark, sf):
 
 @register("m07_compare_strategies")
 def m07_compare_strategies(spark, sf):
-    """Stage A for the linear family: none / balanced / smote under 5-fold CV.
-    Other families run through the same call with ``families=``."""
+    """Stage A: none / balanced / smote of every family under 5-fold CV."""
     return M.compare_strategies(_folds(spark, sf), NUMERIC, CATEGORICAL, LABEL, KEY,
-                                ["logistic_regression"], M.STRATEGIES, 5)
+                                list(M.TUNED), M.STRATEGIES, 5)
 
 
 @register("m08_tune")
 def m08_tune(spark, sf):
-    """Stage B for the linear family on the fast grid; refit; holdout metrics."""
+    """Stage B for the linear family on its whole grid; refit; holdout metrics."""
     folds = _folds(spark, sf)
     model, best, mean, std = M.tune(folds, NUMERIC, CATEGORICAL, LABEL, KEY,
-                                    "logistic_regression", "balanced", fast=True, k=5)
+                                    "logistic_regression", "balanced", k=5)
     _, test = split(spark, sf)
     scored = model.score(test).withColumnRenamed("predicted_hit", "y_pred").withColumnRenamed(
         "hit_potential", "y_score")
@@ -145,8 +145,7 @@ def m08_tune(spark, sf):
 def m09_feature_importance(spark, sf):
     train, _ = split(spark, sf)
     model = M.fit_pipeline(train, NUMERIC, CATEGORICAL, LABEL, KEY, "boosted_trees", "none")
-    names = feature_names(model.pre, NUMERIC, CATEGORICAL)
-    pairs = M.feature_importance(model, names, 15) or []
+    pairs = M.feature_importance(model, feature_names(model.pre, NUMERIC, CATEGORICAL), 15)
     return spark.createDataFrame(pairs, "name string, importance double")
 
 
@@ -179,16 +178,42 @@ def m13_score_feature_maps(spark, sf):
     return M.score_batch(rows, lambda d: 1 / (1 + F.exp(-(F.col("tempo") - 50000) / 20000)))
 
 
-@register("m14_batch_report", with_ctes(FX.LABELLED_CTE) + """,
-s AS (SELECT 1 / (1 + exp(-(acctbal - 4500) / 3000)) AS p FROM labelled)
-SELECT count(*) AS total, CAST(sum(CAST(p >= 0.5 AS INTEGER)) AS BIGINT) AS predicted_hits,
-       avg(p) * 100 AS avg_score, max(p) * 100 AS top_score FROM s""",
-          doubles=["avg_score", "top_score"])
+_RULE_SQL = "1 / (1 + exp(-(acctbal - 4500) / 3000))"
+
+
+@register("m14_batch_report", with_ctes(FX.LABELLED_CTE) + f""",
+s AS (SELECT track_key, artist, acctbal, {_RULE_SQL} AS p FROM labelled),
+h AS (SELECT least(CAST(floor(p * 100 / 4) AS BIGINT), 24) AS bin FROM s),
+r AS (SELECT *, row_number() OVER (ORDER BY p DESC, track_key) AS rp,
+             row_number() OVER (ORDER BY track_key) AS rk FROM s)
+SELECT 'kpis' AS part, CAST(NULL AS BIGINT) AS track_key, CAST(NULL AS VARCHAR) AS label,
+       avg(p) * 100 AS x, max(p) * 100 AS y,
+       CAST(sum(CAST(p >= 0.5 AS INTEGER)) AS BIGINT) AS n FROM s
+UNION ALL SELECT 'ranked', track_key, substr(artist, 1, 40), p, NULL, CAST(p >= 0.5 AS INTEGER)
+  FROM r WHERE rp <= 10
+UNION ALL SELECT 'preview', track_key, artist, p, NULL, CAST(p >= 0.5 AS INTEGER) FROM r WHERE rk <= 20
+UNION ALL SELECT 'histogram', NULL, NULL, b * 4.0, (b + 1) * 4.0,
+                 (SELECT count(*) FROM h WHERE h.bin = b)
+  FROM (SELECT unnest(range(0, 25)) AS b) AS bins
+UNION ALL SELECT 'scatter', track_key, NULL, acctbal, p, NULL FROM s""", doubles=["x", "y"])
 def m14_batch_report(spark, sf):
-    """KPIs of the batch report; histogram, top-k and preview are A19, W2, W3."""
-    lab = FX.labelled_tracks(spark, sf).select("track_key", "acctbal")
+    """Every part of the report, told apart by ``part``."""
+    lab = FX.labelled_tracks(spark, sf).select("track_key", "artist", "acctbal")
     scored = M.score_batch(lab, lambda d: 1 / (1 + F.exp(-(F.col("acctbal") - 4500) / 3000)))
-    return A.batch_kpis(scored, "hit_potential", "predicted_hit")
+    out = M.batch_report(scored, "track_key", ["artist"], scatter=["acctbal"])
+
+    def part(name, key=None, label=None, x=None, y=None, n=None):
+        none = {"track_key": "long", "label": "string", "x": "double", "y": "double", "n": "long"}
+        given = {"track_key": key, "label": label, "x": x, "y": y, "n": n}
+        return out[name].select(F.lit(name).alias("part"), *[
+            (F.col(v) if v else F.lit(None)).cast(none[c]).alias(c) for c, v in given.items()])
+    rows = part("kpis", x="avg_score", y="top_score", n="predicted_hits")
+    for more in (part("ranked", "track_key", "label", "hit_potential", n="predicted_hit"),
+                 part("preview", "track_key", "artist", "hit_potential", n="predicted_hit"),
+                 part("histogram", x="bin_lo", y="bin_hi", n="count"),
+                 part("scatter", "track_key", x="acctbal", y="hit_potential")):
+        rows = rows.unionByName(more)
+    return rows
 
 
 @register("m11_train_bundle")
@@ -205,25 +230,97 @@ def m11_train_bundle(spark, sf):
     return metadata.withColumn("model_name", F.lit(info["model_name"]))
 
 
+@register("s06_bundle_round_trip", with_ctes(SPLIT_SQL) + """
+SELECT count(*) AS n, CAST(0 AS DOUBLE) AS max_gap FROM test""", doubles=["max_gap"])
+def s06_bundle_round_trip(spark, sf):
+    """A saved and reloaded bundle scores every holdout row as the model before saving."""
+    from harrow.ml.bundle import bundle_metadata
+    from harrow.session import scratch_path
+    from harrow.sources.io import load_bundle, save_bundle
+    train, test = split(spark, sf)
+    model = M.fit_pipeline(train, NUMERIC, CATEGORICAL, LABEL, KEY, "logistic_regression",
+                           "balanced")
+    path = scratch_path(spark, "bundle")
+    save_bundle(model.pipeline(), bundle_metadata(train, NUMERIC, CATEGORICAL, LABEL),
+                {"model_name": "logistic_regression"}, path)
+    loaded, _, _ = load_bundle(spark, path)
+    again = loaded.transform(test).select(KEY, M.probability_of_positive(test).alias("again"))
+    return (model.score(test).select(KEY, "hit_potential").join(again, KEY)
+            .agg(F.count(F.lit(1)).alias("n"),
+                 F.max(F.abs(F.col("hit_potential") - F.col("again"))).alias("max_gap")))
+
+
 @register("m15_train_from_signals")
 def m15_train_from_signals(spark, sf):
-    """Signal features of each sample array, label 0 as the positive class, stratified
-    25% holdout, best of LR / forest by holdout macro F1."""
+    """Time-domain features of each sample array, label 0 as the positive class, stratified
+    25% holdout, best of LR / forest by holdout macro F1, saved as a bundle and read back."""
     from harrow.ml.bundle import train_from_signals
+    from harrow.session import scratch_path
+    from harrow.sources.io import load_bundle
     emb = FX.table(spark, sf, "embeddings").select(
         "vec_id", F.col("embedding").cast("array<double>").alias("samples"),
         (F.col("label") == 0).cast("int").alias("hit"))
-    return train_from_signals(emb, "samples", "vec_id", "hit")
+    path = scratch_path(spark, "bundle")
+    trained = train_from_signals(emb, "samples", "vec_id", "hit", path)
+    _, metadata, info = load_bundle(spark, path)
+    return trained.withColumn("n_features", F.lit(metadata.count())).withColumn(
+        "saved_model", F.lit(info["model_name"]))
 
 
 # --- E10 / E11 on rule scorers with cross-validated means ----------------------------
 
+# Three fixed rules stand in for the models, so that SQL can follow the whole table.
 RULES = {
-    "logistic_regression": lambda: (F.col("acctbal") + 1000) / 11000,
-    "random_forest": lambda: F.least(F.lit(1.0), F.coalesce(F.col("tempo"), F.lit(0.0)) / 100000),
-    "boosted_trees": lambda: ((F.col("acctbal") + 1000) / 11000 + F.least(
+    "rule_balance": lambda: (F.col("acctbal") + 1000) / 11000,
+    "rule_tempo": lambda: F.least(F.lit(1.0), F.coalesce(F.col("tempo"), F.lit(0.0)) / 100000),
+    "rule_mean": lambda: ((F.col("acctbal") + 1000) / 11000 + F.least(
         F.lit(1.0), F.coalesce(F.col("tempo"), F.lit(0.0)) / 100000)) / 2,
 }
+_TEMPO_SQL = "least(1.0, coalesce(tempo, 0.0) / 100000)"
+RULES_SQL = {
+    "rule_balance": "(acctbal + 1000) / 11000",
+    "rule_tempo": _TEMPO_SQL,
+    "rule_mean": f"((acctbal + 1000) / 11000 + {_TEMPO_SQL}) / 2",
+}
+
+
+def _comparison_sql() -> str:
+    rules = "\n  UNION ALL ".join(
+        f"SELECT '{n}' AS model, {i} AS seq, 0 AS is_baseline, hit AS y_true, "
+        f"CAST({e} >= 0.5 AS INTEGER) AS y_pred, {e} AS y_score FROM test"
+        for i, (n, e) in enumerate(RULES_SQL.items()))
+    cv = "\n  UNION ALL ".join(
+        f"SELECT '{n}' AS model, fold, hit AS y_true, CAST({e} >= 0.5 AS INTEGER) AS y_pred FROM folds"
+        for n, e in RULES_SQL.items())
+    return (SPLIT_SQL + MAJORITY_SQL + RANDOM_SQL + f""",
+folds AS (SELECT *, (row_number() OVER (PARTITION BY hit ORDER BY md5(concat_ws('-',
+  CAST(track_key AS VARCHAR), '42')), track_key) - 1) % 5 AS fold FROM train),
+cev AS ({cv}),
+cvf AS (SELECT model, {MACRO['f1_macro']} AS f1 FROM (
+  SELECT model, fold, {counts_sql()} FROM cev GROUP BY model, fold) AS x),
+cvs AS (SELECT model, avg(f1) AS cv_f1_macro_mean, stddev_pop(f1) AS cv_f1_macro_std
+        FROM cvf GROUP BY model),
+mev AS (
+  SELECT 'baseline_majority_class' AS model, 0 AS seq, 1 AS is_baseline, hit AS y_true, y_pred,
+         y_score FROM base_major
+  UNION ALL SELECT 'baseline_stratified_random', 1, 1, hit, y_pred, y_score FROM base_rand
+  UNION ALL {rules}),
+mc AS (SELECT model, seq, is_baseline, {counts_sql()} FROM mev GROUP BY model, seq, is_baseline),
+mg AS (SELECT model, y_score, sum(y_true) AS pos, sum(1 - y_true) AS neg FROM mev
+       WHERE y_score IS NOT NULL GROUP BY model, y_score),
+mcum AS (SELECT *, sum(neg) OVER (PARTITION BY model ORDER BY y_score) - neg AS below FROM mg),
+mauc AS (SELECT model, CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+         THEN sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg)) END AS roc_auc
+         FROM mcum GROUP BY model),
+comp AS (SELECT mc.model, seq, {MACRO['accuracy']} AS accuracy,
+                {MACRO['precision_macro']} AS precision_macro, {MACRO['recall_macro']} AS recall_macro,
+                {MACRO['f1_macro']} AS f1_macro, roc_auc, is_baseline, cv_f1_macro_mean,
+                cv_f1_macro_std
+         FROM mc JOIN mauc ON mauc.model = mc.model LEFT JOIN cvs ON cvs.model = mc.model)""")
+
+
+COMPARISON_SQL = _comparison_sql()
+CV_DOUBLES = [*METRIC_DOUBLES, "cv_f1_macro_mean", "cv_f1_macro_std"]
 
 
 def comparison_table(spark, sf):
@@ -248,21 +345,49 @@ def comparison_table(spark, sf):
         held = test.select(F.col(LABEL), (s >= 0.5).cast("int").alias("y_pred"),
                            s.alias("y_score"))
         row = _eval(held).select(F.lit(name).alias("model"), F.lit(seq).alias("seq"), "*")
-        from harrow.operators.joins import attach
         row = attach(row, cv)
         tuned = row if tuned is None else tuned.unionByName(row)
     return E.model_comparison(baselines, tuned)
 
 
-@register("e10_model_comparison")
+@register("e10_model_comparison", with_ctes(COMPARISON_SQL) + """
+SELECT * FROM comp""", doubles=CV_DOUBLES)
 def e10_model_comparison(spark, sf):
     return comparison_table(spark, sf)
 
 
-@register("e11_hypothesis_verdicts")
+@register("e11_hypothesis_verdicts", with_ctes(
+    COMPARISON_SQL, """
+holdout AS (SELECT hit AS y_true, CAST((acctbal + 1000) / 11000 >= 0.5 AS INTEGER) AS y_pred,
+                   nation AS "group" FROM test)""", by_group_sql("holdout", "group"),
+    fairness_sql(30)) + """,
+t AS (SELECT * FROM comp WHERE is_baseline = 0),
+v AS (SELECT
+  (SELECT max(accuracy) FROM t) AS best_accuracy,
+  (SELECT model FROM t ORDER BY accuracy DESC, seq LIMIT 1) AS best_accuracy_model,
+  (SELECT accuracy FROM comp WHERE model = 'baseline_stratified_random') AS acc_rand,
+  (SELECT accuracy FROM comp WHERE model = 'baseline_majority_class') AS acc_major,
+  (SELECT max(f1_macro) FROM t) AS best_f1,
+  (SELECT f1_macro FROM comp WHERE model = 'baseline_majority_class') AS f1_major,
+  (SELECT model FROM t WHERE model <> 'rule_balance' ORDER BY cv_f1_macro_mean DESC, seq LIMIT 1)
+    AS best_ensemble,
+  (SELECT f1_disparity FROM fair) AS f1_disparity),
+w AS (SELECT v.*, e.cv_f1_macro_mean - l.cv_f1_macro_mean AS h2_margin,
+             e.cv_f1_macro_std + l.cv_f1_macro_std AS h2_noise
+      FROM v JOIN t AS e ON e.model = v.best_ensemble JOIN t AS l ON l.model = 'rule_balance')
+SELECT best_accuracy, best_accuracy_model, acc_rand, acc_major, best_f1, f1_major,
+       CAST(best_accuracy > 0.7 AS INTEGER) AS h1_above_70,
+       CAST(best_accuracy > acc_rand AS INTEGER) AS h1_beats_random,
+       CAST(best_accuracy > acc_major AS INTEGER) AS h1_beats_majority, best_ensemble, h2_margin,
+       h2_noise, CAST(h2_margin > 0 AS INTEGER) AS h2_beats_linear,
+       CAST(h2_margin > h2_noise AS INTEGER) AS h2_outside_noise, f1_disparity,
+       CAST(f1_disparity > 0.1 AS INTEGER) AS h3_disparity FROM w""",
+          doubles=["best_accuracy", "acc_rand", "acc_major", "best_f1", "f1_major", "h2_margin",
+                   "h2_noise", "f1_disparity"])
 def e11_hypothesis_verdicts(spark, sf):
     from harrow.plans.flagship import fairness_flagship
-    return E.hypothesis_verdicts(comparison_table(spark, sf), fairness_flagship(spark, sf, 30))
+    return E.hypothesis_verdicts(comparison_table(spark, sf), fairness_flagship(spark, sf, 30),
+                                 ensembles=("rule_tempo", "rule_mean"), linear="rule_balance")
 
 
 @register("e14_run_experiment")
@@ -335,23 +460,68 @@ def f03_mode_impute(spark, sf):
                                       for c in ["genre", "segment"]])
 
 
-@register("f04_one_hot")
+def _onehot_sql(cols, source="test"):
+    """CTEs of the training modes and labels, and the slot names of a row of ``source``."""
+    ctes, names = "", []
+    for c in cols:
+        ctes += f""",
+mode_{c} AS (SELECT {c} AS m FROM train WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1),
+lab_{c} AS (SELECT DISTINCT coalesce({c}, m) AS v FROM train, mode_{c})"""
+        names.append(f"(SELECT '{c}_' || v FROM lab_{c} WHERE v = coalesce({source}.{c}, "
+                     f"(SELECT m FROM mode_{c})))")
+    total = " + ".join(f"(SELECT count(*) FROM lab_{c})" for c in cols)
+    return ctes, f"concat_ws(',', {', '.join(names)}) AS slots, {total} AS n_slots"
+
+
+def _slot_names(vector, names):
+    """Names of the slots that hold 1, in order."""
+    known = F.array(*map(F.lit, names))
+    return F.array_join(F.array_compact(F.transform(
+        vector, lambda x, i: F.when(x == 1.0, F.get(known, i)))), ",")
+
+
+_HOT_CTES, _HOT_COLS = _onehot_sql(["genre", "nation"], "seen")
+
+
+@register("f04_one_hot", with_ctes(SPLIT_SQL) + _HOT_CTES + f""",
+seen AS (SELECT track_key, CASE WHEN track_key % 10 = 0 THEN 'never seen' ELSE genre END AS genre,
+                nation FROM test)
+SELECT track_key, {_HOT_COLS} FROM seen""")
 def f04_one_hot(spark, sf):
-    """Sorted categories, unseen values encode as all zeros; rows-only check."""
+    """Sorted categories, one slot each; a value that training lacks is all zeros."""
     from pyspark.ml.functions import vector_to_array
     train, test = split(spark, sf)
     pre = FE.fit_preprocessor(train, [], ["genre", "nation"])
-    out = pre.transform(test)
-    return out.select("track_key", vector_to_array("features").alias("one_hot"))
+    names = feature_names(pre, [], ["genre", "nation"])
+    test = test.withColumn("genre", F.when(F.col("track_key") % 10 == 0, F.lit("never seen"))
+                           .otherwise(F.col("genre")))
+    out = pre.transform(test).withColumn("v", vector_to_array("features"))
+    return out.select("track_key", _slot_names(F.col("v"), names).alias("slots"),
+                      F.size("v").cast("long").alias("n_slots"))
+
+
+_PRE_CTES, _PRE_COLS = _onehot_sql(CATEGORICAL)
+_PRE_CTES += ",\nmed AS (SELECT " + ", ".join(
+    f"median({c}) AS m_{c}" for c in NUMERIC) + " FROM train),\nst AS (SELECT " + ", ".join(
+    f"avg(coalesce({c}, m_{c})) AS a_{c}, stddev_pop(coalesce({c}, m_{c})) AS s_{c}"
+    for c in NUMERIC) + " FROM train, med)"
 
 
-@register("f05_preprocessor")
+@register("f05_preprocessor", with_ctes(SPLIT_SQL) + _PRE_CTES + "\nSELECT track_key, " + ", ".join(
+    f"(coalesce({c}, m_{c}) - a_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1.0 END AS {c}"
+    for c in NUMERIC) + f", {_PRE_COLS} FROM test, med, st", doubles=NUMERIC)
 def f05_preprocessor(spark, sf):
     """Full preprocessing fitted on training rows, applied to the holdout."""
     from pyspark.ml.functions import vector_to_array
     train, test = split(spark, sf)
     pre = FE.fit_preprocessor(train, NUMERIC, CATEGORICAL)
-    return pre.transform(test).select("track_key", vector_to_array("features").alias("features"))
+    names = feature_names(pre, NUMERIC, CATEGORICAL)
+    n = len(NUMERIC)
+    out = pre.transform(test).withColumn("v", vector_to_array("features"))
+    hot = F.slice("v", n + 1, len(names) - n)
+    return out.select("track_key", *[F.get("v", i).alias(c) for i, c in enumerate(NUMERIC)],
+                      _slot_names(hot, names[n:]).alias("slots"),
+                      (F.size("v") - n).cast("long").alias("n_slots"))
 
 
 @register("p11_echo_numeric", with_ctes(FX.LABELLED_CTE) + """
@@ -360,7 +530,9 @@ def p11_echo_numeric(spark, sf):
     return C.echo_numeric(FX.labelled_tracks(spark, sf), ["energy", "tempo", "acctbal"])
 
 
-@register("m10_select_best")
+@register("m10_select_best", with_ctes(COMPARISON_SQL) + """
+SELECT * FROM comp WHERE is_baseline = 0
+ORDER BY cv_f1_macro_mean DESC NULLS LAST, model LIMIT 1""", doubles=CV_DOUBLES)
 def m10_select_best(spark, sf):
     """The tuned row with the best cross-validated macro F1."""
     comp = comparison_table(spark, sf).filter("is_baseline = 0")

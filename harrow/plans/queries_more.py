@@ -369,12 +369,6 @@ def g01_time_domain_features(spark, sf):
     return G.time_domain_features(_embeddings(spark, sf), "embedding").drop("embedding")
 
 
-@register("g01_signal_features")
-def g01_signal_features(spark, sf):
-    """All 21 features (spectral part in mapInPandas); rows-only check."""
-    return G.signal_features(_embeddings(spark, sf), "embedding", "vec_id")
-
-
 _zero_cols = ", ".join(
     (f"coalesce({c}, 0.0) AS {c}" if c in ("energy", "loudness_db", "zcr") else f"0.0 AS {c}")
     for c in G.SIGNAL_FEATURES)
