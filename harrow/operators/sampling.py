@@ -173,75 +173,132 @@ def with_class_weight(df: DataFrame, label: str, weight_col: str = "weight") ->
 
 
 # SA4 ------------------------------------------------------------------------
-# Minority rows are grouped into blocks of at most this many rows; every pair of
-# blocks meets once on an executor, so no block ever passes through the driver.
+# Rows of a block, which one task compares with others at a time; and reference points at
+# most, which the driver reads (their number times the width of a row).
 SMOTE_BLOCK_ROWS = 2048
-
-
-def _knn_block_pairs(k: int, key_type: T.DataType):
-    """mapInPandas body: for each (query block, candidate block) row, the k nearest
-    candidates of every query row (squared Euclidean distance, self excluded)."""
-    def run(batches):
-        for pdf in batches:
-            outs = []
-            for q, c in zip(pdf["__qrows"], pdf["__crows"]):
-                qk = np.array([r["k"] for r in q])
-                ck = np.array([r["k"] for r in c])
-                qx = np.array([np.asarray(r["v"], dtype=np.float64) for r in q])
-                cx = np.array([np.asarray(r["v"], dtype=np.float64) for r in c])
-                d = ((qx ** 2).sum(axis=1)[:, None] + (cx ** 2).sum(axis=1)[None, :]
-                     - 2.0 * qx @ cx.T)
-                d = np.maximum(d, 0.0)
-                d[qk[:, None] == ck[None, :]] = np.inf
-                kk = min(k, len(ck))
-                idx = (np.argpartition(d, kk - 1, axis=1)[:, :kk] if kk < len(ck)
-                       else np.tile(np.arange(len(ck)), (len(qk), 1)))
-                dist = np.take_along_axis(d, idx, axis=1)
-                ok = np.isfinite(dist).ravel()
-                outs.append(pd.DataFrame({"__q": np.repeat(qk, idx.shape[1])[ok],
-                                          "__nb": ck[idx.ravel()][ok],
-                                          "__d": dist.ravel()[ok]}))
-            if outs:
-                yield pd.concat(outs, ignore_index=True)
-    return run
+SMOTE_PIVOTS = 256
+
+
+def _nearest(qk, qx, ck, cx, k):
+    """The k nearest of ``cx`` for every row of ``qx`` (squared distance, then key; a row is
+    not its own neighbour): indices of rows, keys, distances.  A fast product finds who can
+    be among them, differences give the distances."""
+    if not len(qk) or not len(ck):
+        return np.zeros(0, int), ck[:0], np.zeros(0)
+    norms, others = (qx ** 2).sum(axis=1), (cx ** 2).sum(axis=1)
+    d = norms[:, None] + others[None, :] - 2.0 * qx @ cx.T
+    d[qk[:, None] == ck[None, :]] = np.inf
+    kth = np.partition(d, min(k, len(ck)) - 1, axis=1)[:, min(k, len(ck)) - 1]
+    slack = 1e-9 * (norms + others.max() + 1.0)
+    row, col = np.nonzero((d <= (kth + slack)[:, None]) & np.isfinite(d))
+    exact = ((qx[row] - cx[col]) ** 2).sum(axis=1)
+    order = np.lexsort((ck[col], exact, row))
+    row, col, exact = row[order], col[order], exact[order]
+    start = np.searchsorted(row, row)
+    keep = np.arange(len(row)) - start < k
+    return row[keep], ck[col[keep]], exact[keep]
+
+
+def _vectors(pdf, name):
+    rows = [np.asarray(v, dtype=np.float64) for v in pdf[name]]
+    return np.array(rows) if rows else np.zeros((0, 0))
 
 
 def minority_neighbours(minority: DataFrame, features: str, key: str, k: int = 5,
-                        block_rows: int = SMOTE_BLOCK_ROWS) -> DataFrame:
+                        block_rows: int = SMOTE_BLOCK_ROWS,
+                        max_pivots: int = SMOTE_PIVOTS) -> DataFrame:
     """Exact k nearest minority neighbours of every minority row: (key, nn_rank,
     neighbour, distance).
 
-    Rows are numbered and packed into blocks of ``block_rows``; block pairs are
-    generated from the block count and joined to the packed blocks, so each pair of
-    blocks is compared once, on an executor, with numpy.  Candidates of each row from
-    all blocks are merged and cut to k.  Exact search compares every pair of rows;
-    the blocking keeps each comparison batch bounded, never the total.
-    """
+    Rows join the cell of their nearest reference point; a cell of many rows is several
+    blocks.  A row's k-th distance inside its own block bounds its search: it is sent only
+    to blocks of cells that the triangle inequality cannot rule out, and every (block,
+    bounded batch of visitors) is compared in one task.  Each visit returns k rows at most,
+    and a ranked window keeps the best k of a row, so no list grows with the data."""
     spark = minority.sparkSession
-    key_type = minority.schema[key].dataType
-    numbered = global_row_number(minority.select(key, features), [F.col(key)], "__i")
-    numbered = numbered.withColumn("__b", ((F.col("__i") - 1) / block_rows).cast("long"))
-    blocks = (numbered.groupBy("__b")
-              .agg(F.collect_list(F.struct(F.col(key).alias("k"), F.col(features).alias("v")))
-                   .alias("__rows")))
-    blocks = freeze(blocks)
-    n_blocks = blocks.count()
-    schema = T.StructType([T.StructField("__q", key_type), T.StructField("__nb", key_type),
-                           T.StructField("__d", T.DoubleType())])
-    if n_blocks == 0:
-        return spark.createDataFrame([], schema)
-    pairs = spark.range(n_blocks * n_blocks).select(
-        (F.col("id") / n_blocks).cast("long").alias("__qb"),
-        (F.col("id") % n_blocks).alias("__cb"))
-    q = blocks.select(F.col("__b").alias("__qb"), F.col("__rows").alias("__qrows"))
-    c = blocks.select(F.col("__b").alias("__cb"), F.col("__rows").alias("__crows"))
-    work = pairs.join(q, "__qb").join(c, "__cb").select("__qrows", "__crows")
-    cands = work.mapInPandas(_knn_block_pairs(k, key_type), schema)
-    best = (cands.groupBy("__q").agg(F.slice(F.array_sort(F.collect_list(
-        F.struct("__d", "__nb"))), 1, k).alias("__top")))
-    return (best.select(F.col("__q").alias(key), F.posexplode("__top").alias("nn_rank", "t"))
-            .select(key, "nn_rank", F.col("t.__nb").alias("neighbour"),
-                    F.col("t.__d").alias("distance")))
+    kt = minority.schema[key].dataType
+    rows = freeze(minority.select(F.col(key).alias("q"), F.col(features).alias("v")))
+    m = rows.count()
+    cand = T.StructType([T.StructField("q", kt), T.StructField("nb", kt),
+                         T.StructField("d", T.DoubleType())])
+    if m == 0:
+        return spark.createDataFrame([], cand).select(
+            F.col("q").alias(key), F.lit(0).alias("nn_rank"), F.col("nb").alias("neighbour"),
+            F.col("d").alias("distance"))
+    n_pivots = min(max_pivots, -(-m // block_rows))
+    points = np.array([r["v"] for r in rows.orderBy(F.md5(F.col("q").cast("string")), "q")
+                       .limit(n_pivots).collect()], dtype=np.float64)
+
+    @F.pandas_udf("c int, r double")
+    def cell(v: pd.Series) -> pd.DataFrame:
+        x = np.array([np.asarray(i, dtype=np.float64) for i in v]).reshape(len(v), points.shape[1])
+        d = np.sqrt(np.maximum(((x[:, None, :] - points[None, :, :]) ** 2).sum(axis=2), 0.0)) \
+            if len(v) else np.zeros((0, len(points)))
+        near = d.argmin(axis=1) if len(v) else np.zeros(0, int)
+        return pd.DataFrame({"c": near.astype("int32"), "r": d[np.arange(len(v)), near]})
+
+    placed = rows.withColumn("p", cell("v")).select("q", "v", "p.c", "p.r")
+    cells = {r["c"]: r for r in placed.groupBy("c").agg(
+        F.count("*").alias("n"), F.max("r").alias("r")).collect()}
+    radius = np.array([cells[c]["r"] if c in cells else -np.inf for c in range(len(points))])
+    blocks = np.array([-(-cells[c]["n"] // block_rows) if c in cells else 0
+                       for c in range(len(points))])
+    first = np.cumsum(blocks) - blocks
+    at = F.lit(None).cast("long")
+    for c in range(len(points)):
+        if blocks[c]:
+            at = F.when(F.col("c") == c, F.lit(int(first[c])) + F.pmod(
+                F.xxhash64("q"), F.lit(int(blocks[c])))).otherwise(at)
+    placed = freeze(placed.select("q", "v", at.alias("block")))
+
+    def own(pdf: pd.DataFrame) -> pd.DataFrame:
+        qk, qx = pdf["q"].to_numpy(), _vectors(pdf, "v")
+        row, nb, d = _nearest(qk, qx, qk, qx, k)
+        bound = np.full(len(qk), np.inf)
+        full = np.bincount(row, minlength=len(qk)) >= k
+        bound[full] = pd.Series(d).groupby(row).max().reindex(np.flatnonzero(full)).to_numpy()
+        tops = [[] for _ in qk]
+        for i, n_, d_ in zip(row, nb, d, strict=True):
+            tops[i].append({"nb": n_, "d": d_})
+        return pd.DataFrame({"q": qk, "v": pdf["v"], "block": pdf["block"], "bound": bound,
+                             "top": tops})
+
+    top_type = T.ArrayType(T.StructType(cand.fields[1:]))
+    inside = freeze(placed.groupBy("block").applyInPandas(own, T.StructType([
+        *placed.schema.fields, T.StructField("bound", T.DoubleType()),
+        T.StructField("top", top_type)])))
+
+    @F.pandas_udf("array<long>")
+    def visits(v: pd.Series, bound: pd.Series, block: pd.Series) -> pd.Series:
+        out = []
+        for x, b, home in zip(v, bound, block, strict=True):
+            away = np.sqrt(((points - np.asarray(x, dtype=np.float64)) ** 2).sum(axis=1))
+            reach = away - radius <= np.sqrt(b) * (1 + 1e-9) + 1e-12
+            out.append([int(t) for c in np.flatnonzero(reach & (blocks > 0))
+                        for t in range(first[c], first[c] + blocks[c]) if t != home])
+        return pd.Series(out)
+
+    sent = inside.select("q", "v", F.explode(visits("v", "bound", "block")).alias("t"))
+    loads = freeze(sent.groupBy("t").agg(F.ceil(F.count("*") / block_rows).alias("n")))
+    sent = sent.join(loads, "t").select("q", "v", "t", F.pmod(F.xxhash64("q"), "n").alias("part"))
+    hosts = (placed.join(loads, F.col("block") == F.col("t"))
+             .select("q", "v", "t", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))
+                     .alias("part")))
+
+    def meet(guests: pd.DataFrame, home: pd.DataFrame) -> pd.DataFrame:
+        qk = guests["q"].to_numpy()
+        row, nb, d = _nearest(qk, _vectors(guests, "v"), home["q"].to_numpy(),
+                              _vectors(home, "v"), k)
+        return pd.DataFrame({"q": qk[row], "nb": nb, "d": d})
+
+    met = (sent.groupBy("t", "part").cogroup(hosts.groupBy("t", "part"))
+           .applyInPandas(meet, cand))
+    every = (inside.select("q", F.explode("top").alias("n")).select("q", "n.nb", "n.d")
+             .unionByName(met))
+    best = Window.partitionBy("q").orderBy("d", "nb")
+    return (every.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k)
+            .select(F.col("q").alias(key), (F.col("r") - 1).alias("nn_rank"),
+                    F.col("nb").alias("neighbour"), F.col("d").alias("distance")))
 
 
 def smote(df: DataFrame, label: str, features: str, key: str, k: int = 5,

@@ -207,10 +207,36 @@ def minority_embeddings(spark, sf):
                       (F.col("label") == 0).cast("int").alias("y"))
 
 
-@register("sa04_smote")
+def _u(salt: str) -> str:
+    return (f"(CAST(('0x' || substr(md5(concat_ws('-', CAST(s AS VARCHAR), '42', '{salt}')), 1, 8)) "
+            "AS BIGINT) / 4294967296.0)")
+
+
+@register("sa04_smote", f"""
+WITH mi AS (SELECT vec_id, embedding AS e, row_number() OVER (ORDER BY vec_id) AS i
+            FROM embeddings WHERE label = 0),
+dist AS (SELECT a.vec_id AS q, b.vec_id AS nb, list_sum(list_transform(range(1, len(a.e) + 1),
+           lambda j: pow(CAST(a.e[j] AS DOUBLE) - CAST(b.e[j] AS DOUBLE), 2))) AS d
+         FROM mi AS a JOIN mi AS b ON a.vec_id <> b.vec_id),
+nn AS (SELECT q, nb, row_number() OVER (PARTITION BY q ORDER BY d, nb) - 1 AS r FROM dist),
+gen AS (SELECT s, CAST(floor({_u('base')} * (SELECT count(*) FROM mi)) AS BIGINT) + 1 AS i,
+               CAST(floor({_u('nn')} * 5) AS BIGINT) AS r, {_u('step')} AS u
+        FROM (SELECT unnest(range((SELECT count(*) FILTER (WHERE label <> 0)
+                                          - count(*) FILTER (WHERE label = 0) FROM embeddings))) AS s) AS x),
+syn AS (SELECT -(s + 1) AS vec_id, u, a.e AS x, b.e AS y FROM gen JOIN mi AS a ON a.i = gen.i
+        JOIN nn ON nn.q = a.vec_id AND nn.r = gen.r JOIN mi AS b ON b.vec_id = nn.nb)
+SELECT vec_id, CAST(label = 0 AS INTEGER) AS y, 0 AS synthetic, CAST(embedding[1] AS DOUBLE) AS v_first,
+       list_sum(list_transform(embedding, lambda v: CAST(v AS DOUBLE))) AS v_sum FROM embeddings
+UNION ALL
+SELECT vec_id, 1, 1, CAST(x[1] AS DOUBLE) + (CAST(y[1] AS DOUBLE) - CAST(x[1] AS DOUBLE)) * u,
+       list_sum(list_transform(range(1, len(x) + 1),
+         lambda j: CAST(x[j] AS DOUBLE) + (CAST(y[j] AS DOUBLE) - CAST(x[j] AS DOUBLE)) * u)) FROM syn""",
+          doubles=["v_first", "v_sum"])
 def sa04_smote(spark, sf):
-    """Rows-only check; invariants are tested in tests/test_sampling.py."""
-    return SA.smote(minority_embeddings(spark, sf), "y", "embedding", "vec_id", k=5, seed=42)
+    """Every row after SMOTE, its vector by its first entry and its sum."""
+    out = SA.smote(minority_embeddings(spark, sf), "y", "embedding", "vec_id", k=5, seed=42)
+    return out.select("vec_id", "y", "synthetic", F.get("embedding", 0).alias("v_first"),
+                      F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x).alias("v_sum"))
 
 
 @register("sa04_smote_class_counts", """

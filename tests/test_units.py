@@ -207,12 +207,108 @@ def test_audio_library_and_signal_features(spark, tmp_path):
     c = counts.first()
     assert (c["hit"], c["not_hit"], c["ready"]) == (1, 1, 1)
     dec = G.decode_wav_column(files.select("path", "label", "content"))
-    feats = G.signal_features(dec, "samples", "path").join(dec.select("path", "label"), "path")
-    got = {r["label"]: r for r in feats.collect()}
-    assert abs(got[1]["spectral_centroid"] - 440) < 60
-    assert abs(got[0]["spectral_centroid"] - 1000) < 80
+    got = {r["label"]: r for r in G.time_domain_features(dec, "samples").collect()}
     assert abs(got[0]["zcr"] - 2 * 1000 / 22050) < 0.01
     assert 0.3 < got[1]["energy"] < 0.4
+    assert got[0]["audio_warning"] is None
+
+
+def test_undecodable_files_give_a_reason(spark):
+    other = io.BytesIO()
+    with wave.open(other, "wb") as w:
+        w.setnchannels(1)
+        w.setsampwidth(3)
+        w.setframerate(22050)
+        w.writeframes(b"\0" * 300)
+    rows = [(1, bytearray(_tone(440.0, 44100))), (2, bytearray(other.getvalue())),
+            (3, bytearray(b"no sound")), (4, None), (5, bytearray(_tone(440.0)))]
+    df = G.decode_wav_column(spark.createDataFrame(rows, "k int, content binary"))
+    got = {r.k: r for r in df.collect()}
+    assert "44100" in got[1].audio_warning and "24-bit" in got[2].audio_warning
+    assert "WAV" in got[3].audio_warning and got[4].audio_warning == "no content"
+    assert all(got[k].samples is None for k in (1, 2, 3, 4)) and got[5].samples
+    from harrow.ml.bundle import train_from_signals
+    bad = df.withColumn("hit", F.col("k") % 2)
+    with pytest.raises(ValueError, match="4 files"):
+        train_from_signals(bad, "samples", "k", "hit", "/nowhere")
+
+
+def test_unseen_category_is_all_zeros(spark):
+    from harrow.ml.features import feature_names, fit_preprocessor
+    train = spark.createDataFrame([("a", 1.0), ("b", float("nan")), ("c", 3.0), (None, None)],
+                                  "g string, x double")
+    train = train.withColumn("none", F.lit(None).cast("double"))
+    model = fit_preprocessor(train, ["x", "none"], ["g"])
+    names = feature_names(model, ["x", "none"], ["g"])
+    assert names == ["x", "g_a", "g_b", "g_c"]
+    test = spark.createDataFrame([("zzz", 2.0), ("b", float("nan"))], "g string, x double")
+    rows = [list(r.features.toArray()) for r in
+            model.transform(test.withColumn("none", F.lit(1.0))).collect()]
+    assert rows[0][1:] == [0, 0, 0] and rows[1][1:] == [0, 1, 0]
+    assert rows[0][0] == rows[1][0] == 0.0     # median and mean of 1 and 3 are 2
+
+
+def test_importance_names_must_match(spark):
+    from types import SimpleNamespace
+
+    from harrow.ml.models import feature_importance
+    clf = SimpleNamespace(coefficients=SimpleNamespace(toArray=lambda: np.array([1.0, -2.0])))
+    model = SimpleNamespace(clf=clf)
+    assert feature_importance(model, ["a", "b"]) == [("a", 1.0), ("b", 2.0)]
+    with pytest.raises(ValueError, match="2 slots but 1 names"):
+        feature_importance(model, ["a"])
+
+
+def test_pr_curve_keeps_every_threshold(spark):
+    rows = [(0, .1), (0, .4), (1, .35), (1, .8)]
+    got = E.pr_curve(spark.createDataFrame(rows, "y_true int, y_score double")).orderBy("position")
+    assert [(r.threshold, round(r.precision, 6), r.recall) for r in got.collect()] == [
+        (.1, .5, 1.0), (.35, .666667, 1.0), (.4, .5, .5), (.8, 1.0, .5), (None, 1.0, 0.0)]
+
+
+def test_nan_is_missing_everywhere(spark):
+    from harrow.ml.features import fit_numeric_stats
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, 2.0, 1), (nan, 9.0, 0), (3.0, 6.0, 0), (2.0, 4.0, 1), (5.0, nan, 1)],
+                               "a double, b double, hit int")
+    s = fit_numeric_stats(df, ["a"])["a"]
+    assert s["median"] == 2.5 and s["mean"] == pytest.approx(2.7) and s["scale"] > 0
+    r = {(x.a, x.b): x.r for x in A.correlations(df, ["a", "b"]).collect()}
+    assert r["a", "b"] == pytest.approx(1.0)
+    p = A.feature_profile(df, ["a"]).first()
+    assert (p.lo, p.hi, p.median) == (1.0, 5.0, 2.5)
+
+
+def test_smote_needs_more_rows_than_neighbours(spark):
+    df = spark.createDataFrame([(i, [float(i)], int(i < 3)) for i in range(20)],
+                               "k long, f array<double>, y int")
+    with pytest.raises(ValueError, match="5 neighbours"):
+        SA.smote(df, "y", "f", "k", k=5)
+
+
+def test_median_outside_its_bracket(spark, monkeypatch):
+    from harrow.operators import rank as W
+    df = spark.range(1, 1001).selectExpr("cast(id as double) x", "cast(id % 3 as double) y",
+                                         "cast(null as double) z")
+    want = {"x": 500.5, "y": 1.0}
+    for bracket in ((0.49, 0.51), (0.9, 0.95), (0.0, 0.0)):
+        monkeypatch.setattr(W, "_BRACKET", bracket)
+        got = {r.feature: r.median for r in W.exact_medians(df, ["x", "y", "z"]).collect()}
+        assert got == want
+
+
+def test_shared_folder_is_required_off_one_machine():
+    from harrow.session import checkpoint_dir
+
+    class Fake:
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Fake)
 
 
 def test_extract_id_shapes(spark):
@@ -225,12 +321,14 @@ def test_extract_id_shapes(spark):
                    (None, "empty")]
 
 
-def test_minority_neighbours_match_brute_force(spark):
+@pytest.mark.parametrize("block_rows,clusters", [(7, 1), (5, 6), (1000, 1), (1, 3)])
+def test_minority_neighbours_match_brute_force(spark, block_rows, clusters):
     rng = np.random.default_rng(3)
-    pts = rng.normal(size=(40, 4))
+    pts = rng.normal(size=(40, 4)) + 50 * rng.integers(0, clusters, size=(40, 1))
+    pts[10] = pts[11]
     df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(pts)],
                                "k long, f array<double>")
-    nn = SA.minority_neighbours(df, "f", "k", k=3, block_rows=7)
+    nn = SA.minority_neighbours(df, "f", "k", k=3, block_rows=block_rows)
     got = {}
     for r in nn.collect():
         got.setdefault(r["k"], []).append((r["nn_rank"], r["neighbour"]))
@@ -239,3 +337,4 @@ def test_minority_neighbours_match_brute_force(spark):
     for i in range(len(pts)):
         want = list(np.argsort(d[i], kind="stable")[:3])
         assert [n for _, n in sorted(got[i])] == want
+    assert SA.minority_neighbours(df.limit(0), "f", "k").count() == 0
