@@ -14,14 +14,26 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 # The same two word patterns for Python and for Java expressions.
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)
-_TO_LOWER = {ord(u): low for u, low in zip(UPPER, LOWER)}
 # Rows of text that go to Python in one Arrow batch.
 TEXT_ROWS = 256
 
 
+# White space to Python's split() that is part of a word here.
+_ODD = "\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b))) + (
+    "\u2028\u2029\u202f\u205f\u3000")
+
+
+def words_of(text: str) -> list[str]:
+    """All matches of ``WORD``; where the two agree, by the much faster split()."""
+    if any(c in text for c in _ODD):
+        return WORD_RE.findall(text)
+    return text.split()
+
+
 def lower_ascii(text: str) -> str:
     """Lower-case A-Z only; every other character stays as it is."""
-    return text.lower() if text.isascii() else text.translate(_TO_LOWER)
+    # Bytes know only ASCII letters, and no other character has ASCII bytes in UTF-8.
+    return text.lower() if text.isascii() else text.encode().lower().decode()
 
 
 def lower_ascii_col(col: Column) -> Column:
