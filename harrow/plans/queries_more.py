@@ -514,6 +514,50 @@ def s02_write_read_result(spark, sf):
     return IO.read_result(spark, base, "rate_by_year", "natural")
 
 
+def _write_wavs(root: str):
+    """Every row's samples as a WAV file under its label's folder, written by the tasks.
+    A repeated attempt writes the same bytes again."""
+    def run(batches):
+        import io as bytes_io
+        import re
+        import wave
+
+        import numpy as np
+        import pandas as pd
+        from pyarrow import fs
+        files, base = fs.FileSystem.from_uri(re.sub(r"^file:/+", "/", root))
+        for batch in batches:
+            for key, folder, samples in zip(batch["vec_id"], batch["folder"], batch["embedding"],
+                                            strict=True):
+                buf = bytes_io.BytesIO()
+                with wave.open(buf, "wb") as w:
+                    w.setnchannels(1)
+                    w.setsampwidth(2)
+                    w.setframerate(G.SAMPLE_RATE)
+                    w.writeframes((np.clip(samples, -1, 1) * 32767).astype(np.int16).tobytes())
+                files.create_dir(f"{base}/{folder}", recursive=True)
+                with files.open_output_stream(f"{base}/{folder}/{key}.wav") as out:
+                    out.write(buf.getvalue())
+            yield pd.DataFrame({"n": [len(batch)]})
+    return run
+
+
+@register("s04_read_audio_library", """
+SELECT vec_id, CAST(label = 0 AS INTEGER) AS label, 44 + 2 * len(embedding) AS length,
+       (SELECT count(*) FROM embeddings WHERE label = 0) AS hit,
+       (SELECT count(*) FROM embeddings WHERE label <> 0) AS not_hit, 1 AS ready FROM embeddings""")
+def s04_read_audio_library(spark, sf):
+    """The sample arrays as WAV files in a labelled folder tree, listed and counted."""
+    from harrow.operators.joins import attach
+    root = scratch_path(spark, "audio")
+    emb = FX.table(spark, sf, "embeddings").select(
+        "vec_id", "embedding", F.when(F.col("label") == 0, "hit").otherwise("not_hit").alias("folder"))
+    emb.mapInPandas(_write_wavs(root), "n long").agg(F.sum("n")).collect()
+    files, counts = IO.read_audio_library(spark, root)
+    key = F.regexp_extract("path", r"/([0-9]+)\.wav$", 1).cast("long")
+    return attach(files.select(key.alias("vec_id"), "label", "length"), counts)
+
+
 # --- streaming -------------------------------------------------------------------------
 
 from harrow.streaming import stream as X  # noqa: E402
