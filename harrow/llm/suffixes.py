@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harrow.llm.common import big_batches, id_and_text, small_batches, stored
+from harrow.llm.common import id_and_text, small_batches, stored
 
 LENGTH = 100
 GRAM = 24
@@ -422,10 +422,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     if not 1 <= gram <= length <= 127:
         raise ValueError("strings have up to 127 bytes and anchors no more than strings")
     spark = docs.sparkSession
-    small_batches(spark)
     found = docs.mapInArrow(_find(length, gram, PIECE), "g long, c long, doc_id long, k int, loc long")
     order = ["g", "c", F.col("doc_id").asc_nulls_last(), "k", "loc"]
-    big_batches(spark)
+    # The setting holds for the whole plan: texts on one side, narrow rows on the other.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     ranged = found.repartitionByRange(*order).sortWithinPartitions(*order)
     first = stored(ranged.mapInArrow(
         _settle_sorted, "g long, doc_id long, k int, loc long, settled boolean"), "suffix-first")
