@@ -6,6 +6,10 @@ Fitting computes a handful of statistics per column with distributed aggregates
 ``StringIndexer`` (sorted labels, unknown kept) and ``OneHotEncoder`` (the unknown
 slot is the dropped last one, so an unseen value encodes as all zeros).  The result
 is an ordinary ``PipelineModel``: it saves, loads and scores like any Spark model.
+
+Category labels are part of the model and so live on the driver and in every task: a
+column of more than some 100,000 values must go through ``keep_frequent_categories`` (J3)
+first.
 """
 
 from __future__ import annotations

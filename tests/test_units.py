@@ -338,3 +338,52 @@ def test_minority_neighbours_match_brute_force(spark, block_rows, clusters):
         want = list(np.argsort(d[i], kind="stable")[:3])
         assert [n for _, n in sorted(got[i])] == want
     assert SA.minority_neighbours(df.limit(0), "f", "k").count() == 0
+
+
+def test_columns_by_type_and_required(spark):
+    df = spark.createDataFrame([(1, "a", 2.0, True)], "k int, t string, x double, b boolean")
+    numeric, categorical = C.split_columns_by_type(df, exclude=["k"])
+    assert (numeric, categorical) == (["x", "b"], ["t"])
+    C.require_columns(df, ["k", "t"])
+    with pytest.raises(ValueError, match="u, v"):
+        C.require_columns(df, ["k", "u", "v"])
+
+
+def test_defaults_without_a_median_stay_null(spark):
+    df = spark.createDataFrame([(None, float("nan"))], "x double, y double")
+    r = C.fill_feature_defaults(df, {"x": None, "y": 2.0, "z": 3.0}, ["g"]).first()
+    assert (r.x, r.y, r.z, r.g) == (None, 2.0, 3.0, "")
+
+
+def test_absent_result_is_an_error(spark, tmp_path):
+    from harrow.sources.io import load_bundle, read_result
+    with pytest.raises(FileNotFoundError, match="no stored result 'curves'"):
+        read_result(spark, str(tmp_path), "curves")
+    with pytest.raises(FileNotFoundError, match="no saved bundle"):
+        load_bundle(spark, str(tmp_path / "none"))
+
+
+def test_consecutive_repeats_across_partitions(spark):
+    rows = [(1 if i < 300 else 2, i, "m", float(i // 40)) for i in range(400)]
+    df = spark.createDataFrame(rows, "u int, t int, mode string, score double").repartition(7)
+    got = W.drop_consecutive_repeats(df, ["u"], ["t"], ["mode", "score"]).collect()
+    want = [r for i, r in enumerate(rows) if i == 0 or (r[0], r[2], r[3]) != (
+        rows[i - 1][0], rows[i - 1][2], rows[i - 1][3])]
+    assert sorted(tuple(r) for r in got) == want
+    nulls = spark.createDataFrame([(1, 1, None), (1, 2, None), (1, 3, "a")], "u int, t int, s string")
+    assert sorted(r.t for r in W.drop_consecutive_repeats(nulls, ["u"], ["t"], ["s"]).collect()) == [1, 3]
+    assert W.drop_consecutive_repeats(nulls.limit(0), ["u"], ["t"], ["s"]).count() == 0
+
+
+def test_tables_by_header_name(spark, tmp_path):
+    from pyspark.sql.types import _parse_datatype_string
+
+    from harrow.sources.io import read_table
+    f = tmp_path / "t.csv"
+    f.write_text("B,A,C\n1,2,NaN\n3,NA,4.5\n")
+    schema = _parse_datatype_string("a int, b int, c double")
+    assert [tuple(r) for r in read_table(spark, str(f), schema).collect()] == [
+        (2, 1, None), (None, 3, 4.5)]
+    assert dict(read_table(spark, str(f)).dtypes) == {"b": "bigint", "a": "bigint", "c": "double"}
+    with pytest.raises(ValueError, match="d"):
+        read_table(spark, str(f), _parse_datatype_string("d int"))
