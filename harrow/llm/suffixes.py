@@ -41,7 +41,7 @@ from harrow.llm.common import id_and_text, small_batches, stored
 
 LENGTH = 100
 GRAM = 24
-HOT = 20_000
+HOT = 50_000
 # Bytes of text that are hashed at once; longer texts are worked on in parts.
 PIECE = 1 << 20
 _SORT_ROWS = 5_000
