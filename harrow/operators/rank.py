@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,7 +102,9 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ``(feature, median, n)`` with one row per column that has values."""
     if not columns:
         raise ValueError("exact_medians needs at least one column")
-    wide = df.select(*[number(c).alias(f"v{i}") for i, c in enumerate(columns)])
+    # Read three times; kept with its lineage, so a lost executor only costs its part again.
+    wide = df.select(*[number(c).alias(f"v{i}") for i, c in enumerate(columns)]).persist(
+        StorageLevel.MEMORY_AND_DISK)
     found = wide.agg(*[F.percentile_approx(f"v{i}", list(_BRACKET), 10000).alias(f"q{i}")
                        for i in range(len(columns))]).first()
     lo = [q[0] if (q := found[f"q{i}"]) else 0.0 for i in range(len(columns))]
@@ -123,10 +126,12 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     schema = "feature string, n long, below long"
     sizes = df.sparkSession.createDataFrame(meta, schema)
     if not entries:
+        wide.unpersist()
         return sizes.select("feature", F.lit(None).cast("double").alias("median"), "n")
     values = (wide.select(F.explode(F.filter(F.array(*entries), lambda e: e["v"].isNotNull()))
                           .alias("p")).groupBy("p.feature", "p.v").agg(F.count("*").alias("c")))
     cum = ordered_cumsum(values, ["feature", "v"], ["c"])
+    wide.unpersist()
     start = cum.groupBy("feature").agg(F.min(F.col("cum_c") - F.col("c")).alias("start"))
     located = (cum.join(F.broadcast(start), "feature").join(F.broadcast(sizes), "feature")
                .withColumn("first", F.col("cum_c") - F.col("c") - F.col("start") + F.col("below"))

@@ -605,7 +605,7 @@ def x01_score_stream(spark, sf):
     stage = _stage_events(spark, sf, False)
     schema = FX.table(spark, sf, "events").schema
     sink, ckpt = scratch_path(spark, "x1-sink"), scratch_path(spark, "x1-ckpt")
-    X.score_stream(X.file_stream(spark, stage, schema, 2), stream_scorer, sink, ckpt)
+    X.score_stream(X.file_stream(spark, stage, schema, 4), stream_scorer, sink, ckpt)
     return spark.read.parquet(sink)
 
 
@@ -619,7 +619,7 @@ FROM d GROUP BY 1""", doubles=["mean_score", "max_score", "label_rate"])
 def x02_history_stats_stream(spark, sf):
     stage = _stage_events(spark, sf, True)
     schema = FX.table(spark, sf, "events").schema
-    src = X.file_stream(spark, stage, schema, 2).withColumn("score", F.col("value") / 100)
+    src = X.file_stream(spark, stage, schema, 4).withColumn("score", F.col("value") / 100)
     sink, ckpt = scratch_path(spark, "x2-sink"), scratch_path(spark, "x2-ckpt")
     X.history_stats_stream(src, "ts", "event_id", "score", F.col("event_type") == "purchase",
                            sink, ckpt)
