@@ -1,18 +1,22 @@
 """Personal data and the terms that give it away.
 
 Pattern spans (email, ip, card, phone) are found first; their normalised values are the
-protected entities.  Corpus co-occurrence then says how much a nearby term tells about an
-entity: with document counts ``n`` of all, ``n_c`` of the entity, ``n_t`` of the term and
-``n_ct`` of the term near the entity, the disclosure is the share of the entity's
-information that the term gives, ``log2(n * n_ct / (n_c * n_t)) / log2(n / n_c)``.  Terms at
-``REMOVE`` or more are removed, terms at ``GENERALISE`` or more are replaced by a class,
-both only near that entity and only with ``SUPPORT`` different texts behind them, so a
-document without protected data is never changed.
-
-All counts cover all documents.  Pattern spans and nearby terms are found in one pass and
-kept in a narrow table; pair counts, entity counts and term counts are sums combined
-before the shuffle; flagged pairs come back to the occurrences by a plain join, whose hot
-entities the planner may split.
+protected entities.  Corpus co-occurrence then says how much a term of the same document tells about
+an entity: with document counts ``n`` of all, ``n_c`` of the entity, ``n_t`` of the term and
+``n_ct`` of both, the disclosure is the share of the entity's information that the term
+gives, ``log2(n * s / n_t) / log2(n / n_c)`` with ``s`` the share of the entity's documents
+that hold the term.  With ``SUPPORT`` or more different texts behind a pair ``s`` is
+``n_ct / n_c``; with fewer it is the lower Wilson bound of that share over different texts
+(one of one: 0.21), so pairs of one or two texts are judged too, by less than they show.
+Terms at ``REMOVE`` or more are removed, terms at ``GENERALISE`` or more are replaced by a
+class, both only in documents of that entity, so a document without protected data is never
+changed.
+
+All counts cover all documents.  Pattern spans and the terms beside them are found in one
+pass and kept in a narrow table; pair counts, entity counts and term counts are sums
+combined before the shuffle.  Entities that only one row holds have the same counts, so one
+of them per row stands for all.  Flagged pairs come back to the occurrences by a plain join,
+whose hot entities the planner may split.
 
 Defined cases: null text is empty; repeated rows each get their spans and count as
 documents (but as one text for the support); null ids are kept; empty tables give empty
@@ -35,8 +39,8 @@ from harrow.llm.common import WORD_RE, id_and_text, small_batches, stored
 
 KINDS = ("email", "ip", "card", "phone", "term", "general")
 BASE_KINDS = 4
-NEAR = 8
 SUPPORT = 3
+Z = 1.96
 REMOVE = 0.9
 GENERALISE = 0.75
 _FLUSH = 200_000
@@ -112,8 +116,21 @@ def _term(word: str) -> tuple[str, int, int] | None:
 
 
 def near_terms(text: str, spans: list[tuple[int, int, int]],
-               near: int = NEAR) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) of up to ``near`` words on either side of every span."""
+               near: int | None = None) -> list[tuple[str, str, int, int]]:
+    """(entity, term, start, end) of up to ``near`` words on either side of every span, or of
+    all words."""
+    words = free_terms(text, spans)
+    at = [w[0] for w in words]
+    out = set()
+    for span in spans:
+        entity, i = entity_of(text, span), bisect_left(at, span[0])
+        beside = words if near is None else words[max(0, i - near):i + near]
+        out |= {(entity, term, a, b) for _, term, a, b in beside}
+    return sorted(out)
+
+
+def free_terms(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, str, int, int]]:
+    """(word start, term, start, end) of the words outside the spans; none without spans."""
     if not spans:
         return []
     covered = []
@@ -127,27 +144,25 @@ def near_terms(text: str, spans: list[tuple[int, int, int]],
     for m in WORD_RE.finditer(text):
         i = bisect_left(starts, m.end()) - 1
         if (i < 0 or covered[i][1] <= m.start()) and (term := _term(m.group())):
-            words.append((m.start(), *term))
-    at = [w[0] for w in words]
-    out = set()
-    for span in spans:
-        entity, i = entity_of(text, span), bisect_left(at, span[0])
-        for start, term, a, b in words[max(0, i - near):i + near]:
-            out.add((entity, term, start + a, start + b))
-    return sorted(out)
+            words.append((m.start(), term[0], m.start() + term[1], m.start() + term[2]))
+    return words
 
 
 _SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("kind", T.IntegerType()),
                       T.StructField("end", T.IntegerType())])
 _NEAR = T.StructType([T.StructField("entity", T.StringType()), T.StructField("term", T.StringType()),
                       T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
+_PAIR = T.StructType([T.StructField("entity", T.StringType()), T.StructField("term", T.StringType())])
 _SCAN = T.StructType([T.StructField("base", T.ArrayType(_SPAN)),
                       T.StructField("entities", T.ArrayType(T.StringType())),
-                      T.StructField("near", T.ArrayType(_NEAR))])
+                      T.StructField("near", T.ArrayType(_NEAR)),
+                      T.StructField("pairs", T.ArrayType(_PAIR))])
 
 
-def scan(docs: DataFrame, near: int = NEAR) -> DataFrame:
-    """``doc_id, th, base, entities, near`` per row, stored: one pass over the texts."""
+def scan(docs: DataFrame, near: int | None = None) -> DataFrame:
+    """``doc_id, th, base, entities, near, pairs`` per row, stored: one pass over the texts.
+    ``pairs`` are the different ones of ``near``.  Terms that stand beside all entities of
+    the row are kept once, under no entity."""
     small_batches(docs.sparkSession)
 
     @F.pandas_udf(_SCAN)
@@ -157,11 +172,15 @@ def scan(docs: DataFrame, near: int = NEAR) -> DataFrame:
             for text in batch:
                 text = text or ""
                 spans = base_spans(text)
+                beside = [(None, *w[1:]) for w in free_terms(text, spans)] if near is None \
+                    else near_terms(text, spans, near)
                 rows.append(([dict(start=s, kind=k, end=e) for s, k, e in spans],
                              sorted({entity_of(text, s) for s in spans}),
                              [dict(entity=c, term=t, start=s, end=e)
-                              for c, t, s, e in near_terms(text, spans, near)]))
-            yield pd.DataFrame(rows, columns=["base", "entities", "near"])
+                              for c, t, s, e in beside],
+                             [dict(entity=c, term=t) for c, t in
+                              dict.fromkeys((c, t) for c, t, _, _ in beside)]))
+            yield pd.DataFrame(rows, columns=["base", "entities", "near", "pairs"])
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), look("text").alias("s"))
     return stored(rows.select("doc_id", "th", "s.*"), "privacy-scan")
@@ -187,21 +206,50 @@ def term_counts(docs: DataFrame) -> DataFrame:
             .groupBy("term").agg(F.sum("n").alias("n_t")))
 
 
-def disclosing(scanned: DataFrame, docs: DataFrame, support: int = SUPPORT,
-               remove: float = REMOVE, generalise: float = GENERALISE) -> DataFrame:
-    """``entity, term, kind, disclosure`` of the pairs at or above the thresholds."""
-    pairs = (scanned.select("doc_id", "th", F.explode("near").alias("p"))
-             .select("doc_id", "th", "p.entity", "p.term"))
-    per_text = (pairs.groupBy("entity", "term", "th")
-                .agg(F.count_distinct("doc_id").alias("n")))
+def entity_counts(scanned: DataFrame) -> DataFrame:
+    """``entity, n_c, texts_c``: rows and different texts that hold an entity, stored."""
+    held = scanned.select("th", F.explode("entities").alias("entity"))
+    return stored(held.groupBy("entity", "th").agg(F.count("*").alias("n")).groupBy("entity")
+                  .agg(F.sum("n").alias("n_c"), F.count("*").alias("texts_c")),
+                  "privacy-entities")
+
+
+def pairs_of(scanned: DataFrame, per_entity: DataFrame, near: int | None = None) -> DataFrame:
+    """``doc_id, th, entity, term``: every pair of a row once."""
+    rows = scanned.where(F.size("pairs") > 0)
+    if near is not None:
+        return rows.select("doc_id", "th", F.explode("pairs").alias("p")).select(
+            "doc_id", "th", "p.entity", "p.term")
+    many = F.collect_set(F.when(F.col("n_c") > 1, F.col("entity")))
+    one = F.collect_list(F.when(F.col("n_c") == 1, F.col("entity")))
+    stand = (rows.select("doc_id", "th", F.explode("entities").alias("entity"))
+             .join(per_entity, "entity").groupBy("doc_id", "th")
+             .agg(F.concat(many, F.slice(F.array_sort(one), 1, 1)).alias("stand"))
+             .select(F.col("doc_id").alias("__i"), F.col("th").alias("__t"), "stand"))
+    same = F.col("doc_id").eqNullSafe(F.col("__i")) & (F.col("th") == F.col("__t"))
+    return (rows.select("doc_id", "th", "pairs").join(stand, same)
+            .select("doc_id", "th", "stand", F.explode("pairs").alias("p"))
+            .select("doc_id", "th", F.explode("stand").alias("entity"), F.col("p.term").alias("term")))
+
+
+def lower_share(k, m, z: float = Z):
+    """The lower Wilson bound of ``k`` of ``m`` as a column."""
+    half = z * F.sqrt(k * (m - k) / m + z * z / 4)
+    return (k + z * z / 2 - half) / (m + z * z)
+
+
+def disclosing(pairs: DataFrame, per_entity: DataFrame, docs: DataFrame, n: int,
+               support: int = SUPPORT, remove: float = REMOVE,
+               generalise: float = GENERALISE) -> DataFrame:
+    """``entity, term, kind, disclosure`` of the pairs at or above the thresholds, of ``n``
+    rows."""
+    per_text = pairs.groupBy("entity", "term", "th").agg(F.count("*").alias("n"))
     known = (per_text.groupBy("entity", "term")
-             .agg(F.sum("n").alias("n_ct"), F.count("*").alias("texts"))
-             .where(F.col("texts") >= support))
-    per_entity = (scanned.select(F.explode("entities").alias("entity"))
-                  .groupBy("entity").agg(F.count("*").alias("n_c")))
-    n = scanned.count()
+             .agg(F.sum("n").alias("n_ct"), F.count("*").alias("texts")))
     rows = known.join(per_entity, "entity").join(term_counts(docs), "term")
-    told = F.log2(F.lit(float(n)) * F.col("n_ct") / (F.col("n_c") * F.col("n_t")))
+    share = F.when(F.col("texts") >= support, F.col("n_ct") / F.col("n_c")).otherwise(
+        lower_share(F.col("texts"), F.col("texts_c")))
+    told = F.log2(F.lit(float(n)) * share / F.col("n_t"))
     whole = F.log2(F.lit(float(n)) / F.col("n_c"))
     rows = rows.withColumn("disclosure", F.when(whole > 0, told / whole))
     return stored(rows.where(F.col("disclosure") >= generalise).select(
@@ -209,22 +257,30 @@ def disclosing(scanned: DataFrame, docs: DataFrame, support: int = SUPPORT,
         "disclosure"), "privacy-pairs")
 
 
-def find_spans(docs: DataFrame, near: int = NEAR, support: int = SUPPORT, remove: float = REMOVE,
-               generalise: float = GENERALISE, id_col: str = "doc_id",
+def find_spans(docs: DataFrame, near: int | None = None, support: int = SUPPORT,
+               remove: float = REMOVE, generalise: float = GENERALISE, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """``doc_id, th, base, spans`` per row: the pattern spans, and those with the spans of
     disclosing terms, sorted by start and kind."""
     docs = id_and_text(docs, id_col, text_col)
     scanned = scan(docs, near)
-    flagged = disclosing(scanned, docs, support, remove, generalise)
+    per_entity = entity_counts(scanned)
+    pairs = pairs_of(scanned, per_entity, near)
+    flagged = disclosing(pairs, per_entity, docs, scanned.count(), support, remove, generalise)
+    told = pairs.join(flagged, ["entity", "term"])
+    if near is None:
+        told = told.groupBy("doc_id", "th", "term").agg(
+            F.min("kind").alias("kind"), F.first(F.lit(None).cast("string")).alias("entity"))
+    told = told.select(F.col("doc_id").alias("__i"), F.col("th").alias("__t"), "entity", "term",
+                       "kind")
+    same = F.col("doc_id").eqNullSafe(F.col("__i")) & (F.col("th") == F.col("__t"))
     found = (scanned.select("doc_id", "th", F.explode("near").alias("p"))
-             .join(flagged, (F.col("p.entity") == F.col("entity"))
-                   & (F.col("p.term") == F.col("term")))
+             .join(told, same & (F.col("p.term") == F.col("term"))
+                   & F.col("p.entity").eqNullSafe(F.col("entity")))
              .groupBy("doc_id", "th", F.col("p.start").alias("start"), F.col("p.end").alias("end"))
              .agg(F.min("kind").alias("kind"))
              .groupBy(F.col("doc_id").alias("__i"), F.col("th").alias("__t"))
              .agg(F.collect_list(F.struct("start", "kind", "end")).alias("more")))
-    same = F.col("doc_id").eqNullSafe(F.col("__i")) & (F.col("th") == F.col("__t"))
     spans = F.array_sort(F.concat("base", F.coalesce("more", F.array().cast(T.ArrayType(_SPAN)))))
     return scanned.join(found, same, "left").select("doc_id", "th", "base", spans.alias("spans"))
 

@@ -111,3 +111,48 @@ def test_spans_and_text_match_brute_force(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert P.find_spans(df).count() == 0 and P.sanitise(df).count() == 0
+
+
+def smoothed(docs, near=None, support=3, z=1.96):
+    """Like brute, with pairs of fewer texts judged by the lower Wilson bound."""
+    n = len(docs)
+    scans = [(d, t or "", slow(t or "")) for d, t in docs]
+    rows, texts, held = {}, {}, {}
+    for i, (_, t, spans) in enumerate(scans):
+        for w in {x[0] for w in re.findall(r"[^\x20\x09-\x0D]+", t) if (x := P._term(w))}:
+            held[w] = held.get(w, 0) + 1
+        for key in {P.entity_of(t, s) for s in spans} | {x[:2] for x in P.near_terms(t, spans, near)}:
+            rows.setdefault(key, set()).add(i)
+            texts.setdefault(key, set()).add(t)
+    told = {}
+    for pair in [k for k in rows if isinstance(k, tuple)]:
+        c, w = pair
+        k, m, share = len(texts[pair]), len(texts[c]), len(rows[pair]) / len(rows[c])
+        if k < support:
+            share = (k + z * z / 2 - z * math.sqrt(k * (m - k) / m + z * z / 4)) / (m + z * z)
+        if n > len(rows[c]):
+            x = math.log2(n * share / held[w]) / math.log2(n / len(rows[c]))
+            if x >= P.GENERALISE:
+                told[pair] = 4 if x >= P.REMOVE else 5
+    out = []
+    for d, t, spans in scans:
+        more = {}
+        for c, w, s, e in P.near_terms(t, spans, near):
+            if (c, w) in told:
+                more[s, e] = min(more.get((s, e), 9), told[c, w])
+        out.append((d, sorted(spans + [(s, k, e) for (s, e), k in more.items()])))
+    return out
+
+
+def test_one_text_is_judged_to_its_end(spark):
+    rng = random.Random(8)
+    docs = [(i, " ".join(rng.choices([f"word{j}" for j in range(40)], k=30))) for i in range(3000)]
+    for i in range(0, 60, 3):     # one or two texts a value; a far term that no other text has
+        docs[i] = (i, f"Nickname{i} {docs[i][1]} mail u{i // 6}@x.org or +44 20 7946 {1000 + i}")
+    docs += [docs[0], (None, docs[3][1]), (7000, f"{docs[6][1]} +44 20 7946 1009")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    for near in (None, 8):
+        got = [(r.doc_id, [tuple(s) for s in r.spans]) for r in P.find_spans(df, near=near).collect()]
+        assert sorted(got, key=str) == sorted(smoothed(docs, near), key=str), near
+    terms = {d: [t for t in s if t[1] >= P.BASE_KINDS] for d, s in smoothed(docs)}
+    assert all(any(s == 0 for s, _, _ in terms[i]) for i in range(9, 60, 3))
