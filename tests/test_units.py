@@ -387,3 +387,26 @@ def test_tables_by_header_name(spark, tmp_path):
     assert dict(read_table(spark, str(f)).dtypes) == {"b": "bigint", "a": "bigint", "c": "double"}
     with pytest.raises(ValueError, match="d"):
         read_table(spark, str(f), _parse_datatype_string("d int"))
+
+
+def test_all_families_on_folds_prepared_once(spark, monkeypatch):
+    import os
+
+    from harrow.ml import models as M
+    from harrow.plans import queries_ml as Q
+    assert "HARROW_FAMILIES" in os.environ or Q.FAMILIES == tuple(M.GRIDS)
+    small = {"logistic_regression": {"C": 1.0}, "boosted_trees": {"maxIter": 2, "stepSize": 0.1, "maxDepth": 2},
+             "random_forest": {"numTrees": 3, "minInstancesPerNode": 1, "maxDepth": 3}}
+    monkeypatch.setattr(M, "CV_DEFAULTS", small)
+    monkeypatch.setattr(M, "GRIDS", {"logistic_regression": {"C": [0.1, 1.0, 10.0]}})
+    calls, prepare = [], M.prepare
+    monkeypatch.setattr(M, "prepare", lambda *a, **k: calls.append(1) or prepare(*a, **k))
+    rows = [(i, float(i % 7) + (i % 2), "ab"[i % 2 if i % 5 else 0], i % 2, i // 2 % 2) for i in range(80)]
+    df = spark.createDataFrame(rows, "k long, v double, c string, hit int, fold int")
+    got = M.compare_strategies(df, ["v"], ["c"], "hit", "k", tuple(small), ("none", "balanced"), 2)
+    assert {(r.model, r.imbalance) for r in got.collect()} == {
+        (f, s) for f in small for s in ("none", "balanced")}
+    assert len(calls) == 4      # two strategies by two folds, whatever the families
+    calls.clear()
+    assert M.tune(df, ["v"], ["c"], "hit", "k", "logistic_regression", "none", k=2)[2] > 0
+    assert len(calls) == 3      # two folds and the refit, for three combinations
