@@ -58,7 +58,7 @@ def train_bundle(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
                  candidates: Sequence[str] = ("logistic_regression", "random_forest")) -> dict:
     """Temporal split, fit candidates, keep the best by holdout macro F1, save
     the pipeline with its metadata (S6)."""
-    split = temporal_split(df, time_col, [key], 0.2)
+    split = freeze(temporal_split(df, time_col, [key], 0.2))  # read by every candidate
     train = split.filter("is_test = 0").drop("is_test")
     test = split.filter("is_test = 1").drop("is_test")
     model, name, f1 = _pick(train, test, numeric, categorical, label, key, candidates)

@@ -21,6 +21,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from harrow.functions.columns import number
 from harrow.session import freeze
@@ -156,17 +157,86 @@ def median_map(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]
 # W1-W7
 # ---------------------------------------------------------------------------
 
+# Rows that the driver reads in a round of a selection.
+SELECT_ROWS = 4096
+
+
+def _orderable(df: DataFrame, name: str) -> list[Column]:
+    """A column as order parts with nulls last; times as whole numbers."""
+    kind = df.schema[name].dataType
+    c = F.col(f"`{name}`")
+    value = (F.unix_micros(c) if isinstance(kind, T.TimestampType) else
+             F.unix_date(c) if isinstance(kind, T.DateType) else c)
+    return [c.isNull().cast("int"), value]
+
+
+def _literal(value: tuple, like: T.StructType) -> Column:
+    return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+                      for v, f in zip(value, like.fields, strict=True)])
+
+
+def select_kth(order: DataFrame, k: int, rows: int = SELECT_ROWS) -> tuple[tuple, int, int]:
+    """The ``k``-th (from 1) value of the struct column ``o`` in ascending order, with the
+    number of rows below it and equal to it.
+
+    Quickselect over all tasks: a hashed sample of the rows still in question, at most ``rows``
+    of them, brackets the place; one aggregate counts below, inside and at the bracket; the
+    rows in question shrink by a factor that grows with the square root of ``rows``.  Nothing is
+    sorted or exchanged, and equal values, however many, end the search."""
+    kind = order.schema["o"].dataType
+    left, below = order, 0
+    n = order.count()
+    if not 1 <= k <= n:
+        raise ValueError(f"no {k}-th of {n} rows")
+    while True:
+        drawn = left.orderBy(F.xxhash64("o", F.monotonically_increasing_id())).limit(rows)
+        sample = sorted(tuple(r["o"]) for r in drawn.collect())
+        if n <= rows:
+            value = sample[k - below - 1]
+            return value, below + sum(v < value for v in sample), sum(v == value for v in sample)
+        at, slack = (k - below) / n * len(sample), 2.0 * len(sample) ** 0.5
+        lo = sample[max(0, int(at - slack))]
+        hi = sample[min(len(sample) - 1, int(at + slack))]
+        low, high = _literal(lo, kind), _literal(hi, kind)
+        c = left.agg(F.count_if(F.col("o") < low).alias("a"), F.count_if(F.col("o") <= low).alias("b"),
+                     F.count_if(F.col("o") < high).alias("c"), F.count_if(F.col("o") <= high).alias("d")).first()
+        place = k - below
+        for value, start, stop in ((lo, c["a"], c["b"]), (hi, c["c"], c["d"])):
+            if start < place <= stop:
+                return value, below + start, stop - start
+        if place <= c["a"]:
+            left, n = left.where(F.col("o") < low), c["a"]
+        elif place <= c["c"]:
+            left, below, n = left.where((F.col("o") > low) & (F.col("o") < high)), below + c["b"], c["c"] - c["b"]
+        else:
+            left, below, n = left.where(F.col("o") > high), below + c["d"], n - c["d"]
+
+
 def temporal_split(df: DataFrame, time_col: str, tie_break: Sequence[str],
                    test_size: float = 0.2, flag: str = "is_test") -> DataFrame:
-    """Sort by time (nulls last), first ``int((1-test_size)*n)`` rows are train.
-
-    Exact at any partition count: the cut is found with ``global_row_number`` on the
-    total order (time, tie_break...).  Adds ``flag`` (0 train, 1 test) and keeps rows.
-    """
-    order = [F.col(time_col).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tie_break]
-    ranked = global_row_number(df, order, "__rn", total="__n")
-    cut = F.floor(F.lit(float(1 - test_size)) * F.col("__n"))
-    return ranked.withColumn(flag, (F.col("__rn") > cut).cast("int")).drop("__rn", "__n")
+    """By time (nulls last, then ``tie_break``), the first ``int((1-test_size)*n)`` rows are
+    train.  Adds ``flag`` (0 train, 1 test) and keeps rows.
+
+    The last training row's (time, tie_break) is found by selection over just these columns,
+    which are kept once; the split itself is a comparison with that value, so rows are neither
+    sorted nor exchanged.  Rows that tie in all of these across the cut are split by a hash of
+    their columns; rows equal in every column stay on one side (train)."""
+    parts = [p for c in (time_col, *tie_break) for p in _orderable(df, c)]
+    key = F.struct(*[p.alias(f"p{i}") for i, p in enumerate(parts)])
+    order = freeze(df.select(key.alias("o")))
+    n = order.count()
+    cut = int(float(1 - test_size) * n)
+    if cut < 1:
+        return df.withColumn(flag, F.lit(1))
+    kind = order.schema["o"].dataType
+    value, below, equal = select_kth(order, cut)
+    at = _literal(value, kind)
+    if below + equal == cut:
+        return df.withColumn(flag, (key > at).cast("int"))
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    tied = freeze(df.where(key == at).select(F.struct(whole.alias("p0")).alias("o")))
+    (last,), _, _ = select_kth(tied, cut - below)
+    return df.withColumn(flag, ((key > at) | ((key == at) & (whole > last))).cast("int"))
 
 
 def top_k(df: DataFrame, score: str, k: int = 10, key: str | None = None,

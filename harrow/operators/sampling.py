@@ -173,10 +173,88 @@ def with_class_weight(df: DataFrame, label: str, weight_col: str = "weight") ->
 
 
 # SA4 ------------------------------------------------------------------------
-# Rows of a block, which one task compares with others at a time; and reference points at
-# most, which the driver reads (their number times the width of a row).
+# Rows of a block, which one task compares with others at a time.
 SMOTE_BLOCK_ROWS = 2048
-SMOTE_PIVOTS = 256
+# The index over cells of similar rows: cells and sampled rows at most, rows per cell in the
+# sample at least, and numbers (cells x width) that the driver holds for one side of the boxes.
+SMOTE_CELLS = 1024
+SMOTE_SAMPLE = 8192
+SMOTE_LEAST = 8
+SMOTE_NUMBERS = 1 << 22
+SMOTE_DEPTH = 400
+
+
+class CellIndex:
+    """Cells of rows by category signature, then by numbers; each with its exact box.
+
+    Columns with two values (one-hot slots) split first, so that a cell holds rows of one
+    signature, or of few; columns of many values split a signature at their medians.  The
+    squared distance of a row to a cell's box is a bound from below on its distance to any row
+    in it: what differs in the signature counts in full."""
+
+    def __init__(self, sample: np.ndarray, cells: int = SMOTE_CELLS, least: int = SMOTE_LEAST):
+        low, high = sample.min(axis=0), sample.max(axis=0)
+        self.two = np.array([len(np.unique(c)) <= 2 for c in sample.T])
+        self.low, self.high = low, high
+        # Nodes: column, threshold (above: first child), children; leaves count down from -1.
+        self.nodes: list[tuple[int, float, int, int]] = []
+        self.leaves = 0
+        self.root = self._split(sample, np.arange(len(sample)), cells, least)
+        self.table = np.array(self.nodes, dtype=np.float64).reshape(-1, 4)
+
+    def _split(self, x: np.ndarray, rows: np.ndarray, budget: int, least: int, depth: int = 0) -> int:
+        spread = x[rows].var(axis=0)
+        by = np.where(self.two, spread, -1.0) if (spread[self.two] > 0).any() else spread
+        d = int(by.argmax())
+        if budget <= 1 or len(rows) <= least or depth >= SMOTE_DEPTH or not spread[d] > 0:
+            self.leaves += 1
+            return -self.leaves
+        at = float(self.low[d] if self.two[d] else np.median(x[rows, d]))
+        if not (x[rows, d] > at).any():
+            at = float(x[rows, d].min())
+        up = x[rows, d] > at
+        part = min(max(1, round(budget * up.mean())), budget - 1)
+        here = len(self.nodes)
+        self.nodes.append((0, 0.0, 0, 0))
+        first = self._split(x, rows[up], part, least, depth + 1)
+        self.nodes[here] = (d, at, first, self._split(x, rows[~up], budget - part, least, depth + 1))
+        return here
+
+    def place(self, x: np.ndarray) -> np.ndarray:
+        """The cell of every row."""
+        node = np.full(len(x), self.root)
+        going = np.flatnonzero(node >= 0)
+        while len(going):
+            d, at, first, other = self.table[node[going]].T
+            node[going] = np.where(x[going, d.astype(int)] > at, first, other)
+            going = going[node[going] >= 0]
+        return -node - 1
+
+    def boxed(self, boxes: dict[int, tuple[int, np.ndarray, np.ndarray]], block_rows: int) -> CellIndex:
+        """With the exact size and box of every cell; cells are packed into blocks of about
+        ``block_rows``, neighbours in the tree together, and a larger cell is several blocks."""
+        width = len(self.low)
+        self.sizes = np.array([boxes[c][0] if c in boxes else 0 for c in range(self.leaves)])
+        self.lo, self.hi = (np.array([boxes[c][side] if c in boxes else np.zeros(width)
+                                      for c in range(self.leaves)]) for side in (1, 2))
+        self.first, self.count = np.zeros(self.leaves, int), np.ones(self.leaves, int)
+        block, filled = 0, 0
+        for c, n in enumerate(self.sizes):
+            if filled and filled + n > block_rows:
+                block, filled = block + 1, 0
+            self.first[c], self.count[c] = block, max(1, -(-n // block_rows))
+            block += self.count[c] - 1
+            filled += n
+        return self
+
+    def reach(self, x: np.ndarray, bound: np.ndarray, cells: np.ndarray | None = None) -> np.ndarray:
+        """Which cells (of ``cells``) can hold a row within ``bound`` (squared) of each row."""
+        lo, hi, sizes = (v if cells is None else v[cells] for v in (self.lo, self.hi, self.sizes))
+        out = np.zeros((len(x), len(lo)))
+        for d in range(x.shape[1]):
+            gap = np.maximum(lo[:, d][None, :] - x[:, d][:, None], x[:, d][:, None] - hi[:, d][None, :])
+            out += np.maximum(gap, 0.0) ** 2
+        return (out <= (bound * (1 + 1e-9) + 1e-12)[:, None]) & (sizes > 0)[None, :]
 
 
 def _nearest(qk, qx, ck, cx, k):
@@ -205,51 +283,60 @@ def _vectors(pdf, name):
 
 
 def minority_neighbours(minority: DataFrame, features: str, key: str, k: int = 5,
-                        block_rows: int = SMOTE_BLOCK_ROWS,
-                        max_pivots: int = SMOTE_PIVOTS) -> DataFrame:
+                        block_rows: int = SMOTE_BLOCK_ROWS, cells: int = SMOTE_CELLS) -> DataFrame:
     """Exact k nearest minority neighbours of every minority row: (key, nn_rank,
     neighbour, distance).
 
-    Rows join the cell of their nearest reference point; a cell of many rows is several
-    blocks.  A row's k-th distance inside its own block bounds its search: it is sent only
-    to blocks of cells that the triangle inequality cannot rule out, and every (block,
-    bounded batch of visitors) is compared in one task.  Each visit returns k rows at most,
-    and a ranked window keeps the best k of a row, so no list grows with the data."""
+    Rows join the cells of an index over their category signatures and numbers, fitted on a
+    bounded sample; cells form blocks.  A row's k-th distance inside its own block bounds its
+    search: it is sent only to blocks with a cell whose box lies within that bound, and is
+    compared only with the rows of such cells.  On one-hot data few cells are left; vectors of
+    many independent numbers have no exact index, and there every cell stays within the bound.
+    Each visit returns k rows at most, and a ranked window keeps the best k of a row, so no
+    list grows with the data."""
     spark = minority.sparkSession
     kt = minority.schema[key].dataType
     rows = freeze(minority.select(F.col(key).alias("q"), F.col(features).alias("v")))
-    m = rows.count()
     cand = T.StructType([T.StructField("q", kt), T.StructField("nb", kt),
                          T.StructField("d", T.DoubleType())])
-    if m == 0:
+    sample = np.array([r["v"] for r in rows.orderBy(F.md5(F.col("q").cast("string")), "q")
+                       .limit(SMOTE_SAMPLE).collect()], dtype=np.float64)
+    if not len(sample):
         return spark.createDataFrame([], cand).select(
             F.col("q").alias(key), F.lit(0).alias("nn_rank"), F.col("nb").alias("neighbour"),
             F.col("d").alias("distance"))
-    n_pivots = min(max_pivots, -(-m // block_rows))
-    points = np.array([r["v"] for r in rows.orderBy(F.md5(F.col("q").cast("string")), "q")
-                       .limit(n_pivots).collect()], dtype=np.float64)
-
-    @F.pandas_udf("c int, r double")
-    def cell(v: pd.Series) -> pd.DataFrame:
-        x = np.array([np.asarray(i, dtype=np.float64) for i in v]).reshape(len(v), points.shape[1])
-        d = np.sqrt(np.maximum(((x[:, None, :] - points[None, :, :]) ** 2).sum(axis=2), 0.0)) \
-            if len(v) else np.zeros((0, len(points)))
-        near = d.argmin(axis=1) if len(v) else np.zeros(0, int)
-        return pd.DataFrame({"c": near.astype("int32"), "r": d[np.arange(len(v)), near]})
-
-    placed = rows.withColumn("p", cell("v")).select("q", "v", "p.c", "p.r")
-    cells = {r["c"]: r for r in placed.groupBy("c").agg(
-        F.count("*").alias("n"), F.max("r").alias("r")).collect()}
-    radius = np.array([cells[c]["r"] if c in cells else -np.inf for c in range(len(points))])
-    blocks = np.array([-(-cells[c]["n"] // block_rows) if c in cells else 0
-                       for c in range(len(points))])
-    first = np.cumsum(blocks) - blocks
-    at = F.lit(None).cast("long")
-    for c in range(len(points)):
-        if blocks[c]:
-            at = F.when(F.col("c") == c, F.lit(int(first[c])) + F.pmod(
-                F.xxhash64("q"), F.lit(int(blocks[c])))).otherwise(at)
-    placed = freeze(placed.select("q", "v", at.alias("block")))
+    index = CellIndex(sample, max(1, min(cells, SMOTE_NUMBERS // sample.shape[1])))
+
+    @F.pandas_udf("int")
+    def cell(v: pd.Series) -> pd.Series:
+        x = np.array([np.asarray(i, dtype=np.float64) for i in v]).reshape(len(v), sample.shape[1])
+        return pd.Series(index.place(x).astype("int32"))
+
+    def box(batches):
+        known = {}
+        for pdf in batches:
+            x, at = _vectors(pdf, "v"), pdf["c"].to_numpy()
+            for c in np.unique(at):
+                here = x[at == c]
+                n, lo, hi = known.get(c, (0, np.inf, -np.inf))
+                known[c] = (n + len(here), np.minimum(lo, here.min(axis=0)),
+                            np.maximum(hi, here.max(axis=0)))
+        yield pd.DataFrame([(c, n, list(lo), list(hi)) for c, (n, lo, hi) in known.items()],
+                           columns=["c", "n", "lo", "hi"])
+
+    def joined(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"c": [pdf["c"].iloc[0]], "n": [pdf["n"].sum()],
+                             "lo": [_vectors(pdf, "lo").min(axis=0)],
+                             "hi": [_vectors(pdf, "hi").max(axis=0)]})
+
+    placed = freeze(rows.select("q", "v", cell("v").alias("c")))
+    box_type = "c int, n long, lo array<double>, hi array<double>"
+    # A row per cell, of at most SMOTE_NUMBERS numbers a side in all.
+    boxes = placed.mapInPandas(box, box_type).groupBy("c").applyInPandas(joined, box_type).collect()
+    index.boxed({r["c"]: (r["n"], np.array(r["lo"]), np.array(r["hi"])) for r in boxes}, block_rows)
+    first, count = (F.get(F.array(*[F.lit(int(n)).cast("long") for n in a]), F.col("c"))
+                    for a in (index.first, index.count))
+    placed = placed.withColumn("block", first + F.pmod(F.xxhash64("q"), count))
 
     def own(pdf: pd.DataFrame) -> pd.DataFrame:
         qk, qx = pdf["q"].to_numpy(), _vectors(pdf, "v")
@@ -260,8 +347,8 @@ def minority_neighbours(minority: DataFrame, features: str, key: str, k: int = 5
         tops = [[] for _ in qk]
         for i, n_, d_ in zip(row, nb, d, strict=True):
             tops[i].append({"nb": n_, "d": d_})
-        return pd.DataFrame({"q": qk, "v": pdf["v"], "block": pdf["block"], "bound": bound,
-                             "top": tops})
+        return pd.DataFrame({"q": qk, "v": pdf["v"], "c": pdf["c"], "block": pdf["block"],
+                             "bound": bound, "top": tops})
 
     top_type = T.ArrayType(T.StructType(cand.fields[1:]))
     inside = freeze(placed.groupBy("block").applyInPandas(own, T.StructType([
@@ -271,25 +358,40 @@ def minority_neighbours(minority: DataFrame, features: str, key: str, k: int = 5
     @F.pandas_udf("array<long>")
     def visits(v: pd.Series, bound: pd.Series, block: pd.Series) -> pd.Series:
         out = []
-        for x, b, home in zip(v, bound, block, strict=True):
-            away = np.sqrt(((points - np.asarray(x, dtype=np.float64)) ** 2).sum(axis=1))
-            reach = away - radius <= np.sqrt(b) * (1 + 1e-9) + 1e-12
-            out.append([int(t) for c in np.flatnonzero(reach & (blocks > 0))
-                        for t in range(first[c], first[c] + blocks[c]) if t != home])
+        for i in range(0, len(v), 256):
+            x = np.array([np.asarray(a, dtype=np.float64) for a in v.iloc[i:i + 256]])
+            reach = index.reach(x, bound.iloc[i:i + 256].to_numpy())
+            for hit, home in zip(reach, block.iloc[i:i + 256], strict=True):
+                at = np.flatnonzero(hit)
+                blocks = {b for c in at for b in range(index.first[c], index.first[c] + index.count[c])}
+                out.append([int(b) for b in sorted(blocks) if b != home])
         return pd.Series(out)
 
-    sent = inside.select("q", "v", F.explode(visits("v", "bound", "block")).alias("t"))
+    sent = inside.select("q", "v", "bound", F.explode(visits("v", "bound", "block")).alias("t"))
     loads = freeze(sent.groupBy("t").agg(F.ceil(F.count("*") / block_rows).alias("n")))
-    sent = sent.join(loads, "t").select("q", "v", "t", F.pmod(F.xxhash64("q"), "n").alias("part"))
+    sent = sent.join(loads, "t").select("q", "v", "bound", "t",
+                                        F.pmod(F.xxhash64("q"), "n").alias("part"))
     hosts = (placed.join(loads, F.col("block") == F.col("t"))
-             .select("q", "v", "t", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))
+             .select("q", "v", "c", "t", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))
                      .alias("part")))
 
     def meet(guests: pd.DataFrame, home: pd.DataFrame) -> pd.DataFrame:
-        qk = guests["q"].to_numpy()
-        row, nb, d = _nearest(qk, _vectors(guests, "v"), home["q"].to_numpy(),
-                              _vectors(home, "v"), k)
-        return pd.DataFrame({"q": qk[row], "nb": nb, "d": d})
+        qk, qx = guests["q"].to_numpy(), _vectors(guests, "v")
+        hk, hx, at = home["q"].to_numpy(), _vectors(home, "v"), home["c"].to_numpy()
+        if not len(qk) or not len(hk):
+            return pd.DataFrame({"q": qk[:0], "nb": hk[:0], "d": np.zeros(0)})
+        known = np.unique(at)
+        reach = index.reach(qx, guests["bound"].to_numpy(), known)
+        found = []
+        for j, c in enumerate(known):
+            who, there = np.flatnonzero(reach[:, j]), at == c
+            row, nb, d = _nearest(qk[who], qx[who], hk[there], hx[there], k)
+            found.append((who[row], nb, d))
+        row, nb, d = (np.concatenate(p) for p in zip(*found, strict=True))
+        order = np.lexsort((nb, d, row))
+        row, nb, d = row[order], nb[order], d[order]
+        keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+        return pd.DataFrame({"q": qk[row[keep]], "nb": nb[keep], "d": d[keep]})
 
     met = (sent.groupBy("t", "part").cogroup(hosts.groupBy("t", "part"))
            .applyInPandas(meet, cand))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
 from harrow.functions import columns as C
@@ -17,6 +15,7 @@ from harrow.operators.joins import attach
 from harrow.plans import fixtures as FX
 from harrow.plans.catalog import register, with_ctes
 from harrow.plans.queries_eval import M as MACRO, by_group_sql, counts_sql, fairness_sql, groups_sql
+from harrow.session import freeze
 
 NUMERIC = ["energy", "danceability", "loudness", "tempo", "acctbal"]
 CATEGORICAL = ["genre", "nation", "segment"]
@@ -30,7 +29,7 @@ test AS (SELECT * FROM ranked WHERE rn > CAST(floor(CAST(0.8 AS DOUBLE) * n) AS
 
 
 def split(spark, sf):
-    lab = FX.labelled_tracks(spark, sf)
+    lab = freeze(FX.labelled_tracks(spark, sf))  # read by every fit and score
     s = W.temporal_split(lab, "first_week", [KEY], 0.2)
     return s.filter("is_test = 0").drop("is_test"), s.filter("is_test = 1").drop("is_test")
 
@@ -122,8 +121,7 @@ def _folds(spark, sf):
     return SA.stratified_folds(train, LABEL, KEY, 5, 42)
 
 
-# Families that the whole-experiment queries fit: all, unless the caller names some.
-FAMILIES = tuple(os.environ.get("HARROW_FAMILIES", ",".join(M.GRIDS)).split(","))
+FAMILIES = tuple(M.GRIDS)
 
 
 @register("m07_compare_strategies")
@@ -136,10 +134,9 @@ def m07_compare_strategies(spark, sf):
 @register("m08_tune")
 def m08_tune(spark, sf):
     """Stage B: every family on its whole grid; the best by CV, refitted; holdout metrics."""
-    folds = _folds(spark, sf)
-    tuned = [M.tune(folds, NUMERIC, CATEGORICAL, LABEL, KEY, family, "balanced", k=5)
-             for family in FAMILIES]
-    model, best, mean, std = max(tuned, key=lambda t: t[2])
+    tuned = M.tune_families(_folds(spark, sf), NUMERIC, CATEGORICAL, LABEL, KEY,
+                            dict.fromkeys(FAMILIES, "balanced"), k=5)
+    model, best, mean, std = max(tuned.values(), key=lambda t: t.mean)
     _, test = split(spark, sf)
     scored = model.score(test).withColumnRenamed("predicted_hit", "y_pred").withColumnRenamed(
         "hit_potential", "y_score")

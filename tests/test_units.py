@@ -5,6 +5,7 @@ import math
 import wave
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -340,6 +341,192 @@ def test_minority_neighbours_match_brute_force(spark, block_rows, clusters):
     assert SA.minority_neighbours(df.limit(0), "f", "k").count() == 0
 
 
+def test_minority_neighbours_by_signature(spark):
+    """Exact on one-hot data, and by far fewer comparisons than all pairs."""
+    rng = np.random.default_rng(5)
+    n = 8000
+    x = np.zeros((n, 35))
+    x[:, :3] = rng.normal(size=(n, 3))
+    for start, size in ((3, 5), (8, 25), (33, 2)):
+        x[np.arange(n), start + rng.integers(0, size, n)] = 1.0
+    index = SA.CellIndex(x[rng.permutation(n)[:4000]])
+    at = index.place(x)
+    index.boxed({c: ((at == c).sum(), x[at == c].min(axis=0), x[at == c].max(axis=0))
+                 for c in np.unique(at)}, 512)
+    home = index.first[at]
+    d = (x ** 2).sum(axis=1)[:, None] + (x ** 2).sum(axis=1)[None, :] - 2 * x @ x.T
+    np.fill_diagonal(d, np.inf)
+    bound = np.array([np.partition(d[i][home == home[i]], 4)[4] for i in range(n)])
+    reach = index.reach(x, bound)
+    # Own block first, then the rows of every cell within the bound.
+    visited = (home[:, None] == home[None, :]).sum() + (reach * index.sizes[None, :]).sum()
+    assert visited / n ** 2 < 0.2
+    near = np.argsort(d, axis=1, kind="stable")[:, :5]
+    assert reach[np.arange(n)[:, None], at[near]].all()
+    few = 600
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(x[:few])],
+                               "k long, f array<double>")
+    nn = SA.minority_neighbours(df, "f", "k", k=5, block_rows=64, cells=64)
+    got = {(r["k"], r["nn_rank"]): r["neighbour"] for r in nn.collect()}
+    exact = ((x[:few, None, :] - x[None, :few, :]) ** 2).sum(axis=2)
+    np.fill_diagonal(exact, np.inf)
+    want = np.lexsort((np.broadcast_to(np.arange(few), exact.shape), exact), axis=1)[:, :5]
+    assert all(got[i, r] == want[i, r] for i in range(few) for r in range(5))
+
+
+def test_selection_of_the_kth(spark):
+    """Any place, with heavy ties and nulls, however few rows a round may read."""
+    rng = np.random.default_rng(2)
+    values = [None if i % 50 == 0 else int(v) for i, v in enumerate(rng.integers(0, 40, 3000))]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v int, i long").repartition(5)
+    order = df.select(F.struct(F.col("v").isNull().cast("int").alias("p0"), F.col("v").alias("p1"),
+                               F.col("i").alias("p2")).alias("o"))
+    ranked = sorted((v is None, v or 0, i) for i, v in enumerate(values))
+    for k in (1, 2, 777, 1500, 2999, 3000):
+        (null, v, i), below, equal = W.select_kth(order, k, rows=64)
+        assert (bool(null), v or 0, i) == ranked[k - 1] and (below, equal) == (k - 1, 1)
+    coarse = df.select(F.struct(F.lit(0).alias("p0"), (F.col("i") % 3).alias("p1")).alias("o"))
+    assert W.select_kth(coarse, 1500, rows=16) == ((0, 1), 1000, 1000)
+
+
+def test_split_without_exchange_and_with_ties(spark):
+    rows = [(i % 4, None if i % 9 == 0 else i % 5, i) for i in range(500)]
+    df = spark.createDataFrame(rows, "k int, t int, other long")
+    out = W.temporal_split(df, "t", ["k"], 0.3)
+    got = out.collect()
+    assert sum(1 - r["is_test"] for r in got) == 350
+    last = max((r["t"] is None, r["t"] or 0, r["k"]) for r in got if not r["is_test"])
+    assert all((r["t"] is None, r["t"] or 0, r["k"]) >= last for r in got if r["is_test"])
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    same = spark.createDataFrame([(1, 1)] * 10, "k int, t int")
+    assert W.temporal_split(same, "t", ["k"], 0.2).agg(F.sum("is_test")).first()[0] == 0
+
+
+def _planted(n, seed):
+    """Rows whose label follows one number and one category."""
+    rng = np.random.default_rng(seed)
+    v, c = rng.normal(size=n), rng.integers(0, 4, n)
+    y = ((v + 1.5 * (c == 2) + 0.3 * rng.normal(size=n)) > 0.5).astype(int)
+    return [(i, float(v[i]), float(rng.normal()), "abcd"[c[i]], int(y[i]), i % 2) for i in range(n)]
+
+
+PLANTED = "k long, v double, noise double, c string, hit int, fold int"
+
+
+@pytest.mark.parametrize("family,params", [
+    ("logistic_regression", {"C": 1.0}),
+    ("random_forest", {"numTrees": 30, "minInstancesPerNode": 2, "maxDepth": 12}),
+    ("boosted_trees", {"maxIter": 40, "stepSize": 0.2, "maxDepth": 3})])
+@pytest.mark.parametrize("strategy", ["none", "balanced", "smote"])
+def test_families_learn_a_planted_signal(spark, tmp_path, family, params, strategy):
+    from harrow.ml import models as M
+    from harrow.ml.features import feature_names
+    from pyspark.ml import PipelineModel
+    train = spark.createDataFrame(_planted(1200, 1), PLANTED)
+    test = spark.createDataFrame(_planted(800, 2), PLANTED)
+    model = M.fit_pipeline(train, ["v", "noise"], ["c"], "hit", "k", family, strategy, params)
+    scored = model.score(test).select("k", F.col("hit").alias("y_true"), F.col("predicted_hit").alias("y_pred"),
+                                      F.col("hit_potential").alias("y_score"))
+    m = E.classification_metrics(scored).first()
+    major = max(r["n"] for r in test.groupBy("hit").agg(F.count("*").alias("n")).collect()) / 800
+    assert m["accuracy"] > major + 0.2 and m["roc_auc"] > 0.95
+    ranked = M.feature_importance(model, feature_names(model.pre, ["v", "noise"], ["c"]), 6)
+    assert {ranked[-1][0], ranked[-2][0]} == {"v", "c_c"}
+    path = str(tmp_path / "m")
+    model.pipeline().save(path)
+    again = PipelineModel.load(path).transform(test).select("k", M.probability_of_positive(test).alias("p"))
+    gap = scored.join(again, "k").agg(F.max(F.abs(F.col("y_score") - F.col("p")))).first()[0]
+    assert gap < 1e-9
+
+
+def test_stages_and_parts_of_tree_fits(spark):
+    """A fit's first rounds or trees are the fit of that many; rows beyond a part make more
+    parts, and the layout of the rows changes nothing."""
+    from harrow.ml import boost, forest
+    from harrow.ml import models as M
+    ready = M.prepare(spark.createDataFrame(_planted(900, 3), PLANTED), ["v", "noise"], ["c"], "hit", "k")["none"]
+    few, many = boost.Setting(3, 0.2, 5), boost.Setting(3, 0.2, 12)
+    both = boost.fit_grid(ready.x, [few, many], "k")
+    alone = boost.fit_grid(ready.x.repartition(7), [few], "k")
+    assert np.allclose(both[few][0].value, alone[few][0].value) and len(both[many][0].value) == 12
+    assert np.array_equal(both[few][0].feature, both[many][0].feature[:5])
+    assert len(boost.fit_grid(ready.x, [few], "k", part_rows=250)[few]) == 4
+    small, large = forest.Setting(6, 1, 4), forest.Setting(6, 1, 60)
+    grown = forest.fit_grid(ready.x, [small, large], "k")
+    again = forest.fit_grid(ready.x.repartition(5), [small], "k", part_rows=100_000)
+    assert [len(grown[s]) for s in (small, large)] == [4, 60]
+    assert all(np.allclose(a.value, b.value) for a, b in zip(grown[small], again[small], strict=True))
+    assert len(forest.fit_grid(ready.x, [small], "k", part_rows=300)[small]) == 4
+    scored = forest.probabilities(ready.x, [grown[small], grown[large]]).collect()
+    x = np.array([r["features"].toArray() for r in scored])
+    want = np.array([[np.mean([t.score(x[i:i + 1])[0] for t in grown[s]]) for s in (small, large)]
+                     for i in range(50)])
+    assert np.allclose([r["p"] for r in scored[:50]], want)
+
+
+def test_tree_splits_against_brute_force():
+    """The first split of both growers is the best one over all cuts."""
+    from harrow.ml import boost, forest
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(size=(300, 3)), 1)
+    y = (x[:, 1] + 0.2 * rng.normal(size=300) > 0.3).astype(float)
+    edges = [np.unique(np.append(c, 0.0))[:-1] for c in x.T]
+    codes = np.stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, x.T)], axis=1)
+    tree = forest._grow(codes.astype(np.uint8), np.arange(300), y, np.ones(300), edges,
+                        forest.Setting(1, 1, 1), 0, 42)
+    count = np.searchsorted(np.cumsum(np.exp(-1) / np.array([1, 1, 2, 6, 24, 120, 720])),
+                            boost._mix(np.arange(300), 2 * 42 * 1_000_003 + 1))
+
+    def gini(mask):
+        n, p = count[mask].sum(), (count * y)[mask].sum()
+        return (p ** 2 + (n - p) ** 2) / n if n else 0.0
+    f = tree.feature[0]
+    best = max(edges[f], key=lambda e: gini(x[:, f] <= e) + gini(x[:, f] > e))
+    assert tree.threshold[0] == best and len(tree.child) == 3
+    pdf = pd.DataFrame({"k": np.arange(300), "label": y, "weight": 1.0,
+                        "i": [np.flatnonzero(r) for r in x], "v": [r[r != 0] for r in x]})
+    data, bins = boost._Rows(pdf, edges), boost._Bins(edges)
+    g = boost._Grower(data, bins, boost.Setting(1, 1.0, 1), 0.0, 42)
+    g.start(0)
+    g.grow(0)
+    def score(mask):
+        return g.g[mask].sum() ** 2 / (g.h[mask].sum() + 1.0) if g.h[mask].sum() >= 1 else -np.inf
+    cuts = [(score(x[:, c] <= e) + score(x[:, c] > e), c, e) for c in range(3) if g.columns[c] for e in edges[c]]
+    top = max(cuts)
+    assert (g.split[0][0][0], g.split[1][0][0]) == top[1:]
+
+
+def test_metrics_per_group_match_one_at_a_time(spark):
+    rng = np.random.default_rng(6)
+    rows = [("abc"[i % 3], i % 2, int(rng.integers(0, 2)) if i % 3 else 1, int(rng.integers(0, 2)),
+             float(np.round(rng.random(), 1))) for i in range(300)] + [("d", 0, 1, 1, None)]
+    df = spark.createDataFrame(rows, "m string, f int, y_true int, y_pred int, y_score double")
+    got = {(r["m"], r["f"]): r for r in E.metrics_per(df, ["m", "f"]).collect()}
+    assert len(got) == 7
+    for (m, f), r in got.items():
+        one = E.classification_metrics(df.where((F.col("m") == m) & (F.col("f") == f))).first()
+        assert all(r[c] is None and one[c] is None or abs(r[c] - one[c]) < 1e-9 for c in one.asDict())
+
+
+def test_side_by_side_cancels_what_is_left(spark):
+    import time
+
+    from harrow.ml.schedule import side_by_side
+    assert side_by_side(spark, [lambda i=i: spark.range(i).count() for i in range(5)]) == list(range(5))
+
+    def long_job():
+        slow = F.udf(lambda v: time.sleep(60) or v, "long")
+        return spark.range(8).select(slow("id")).collect()
+
+    def fails():
+        time.sleep(3)
+        raise ValueError("no fit")
+    t0 = time.time()
+    with pytest.raises(ValueError, match="no fit"):
+        side_by_side(spark, [long_job, fails, long_job], at_once=2)
+    assert time.time() - t0 < 30
+
+
 def test_columns_by_type_and_required(spark):
     df = spark.createDataFrame([(1, "a", 2.0, True)], "k int, t string, x double, b boolean")
     numeric, categorical = C.split_columns_by_type(df, exclude=["k"])
@@ -390,11 +577,9 @@ def test_tables_by_header_name(spark, tmp_path):
 
 
 def test_all_families_on_folds_prepared_once(spark, monkeypatch):
-    import os
-
     from harrow.ml import models as M
     from harrow.plans import queries_ml as Q
-    assert "HARROW_FAMILIES" in os.environ or Q.FAMILIES == tuple(M.GRIDS)
+    assert Q.FAMILIES == tuple(M.GRIDS)
     small = {"logistic_regression": {"C": 1.0}, "boosted_trees": {"maxIter": 2, "stepSize": 0.1, "maxDepth": 2},
              "random_forest": {"numTrees": 3, "minInstancesPerNode": 1, "maxDepth": 3}}
     monkeypatch.setattr(M, "CV_DEFAULTS", small)
@@ -406,7 +591,7 @@ def test_all_families_on_folds_prepared_once(spark, monkeypatch):
     got = M.compare_strategies(df, ["v"], ["c"], "hit", "k", tuple(small), ("none", "balanced"), 2)
     assert {(r.model, r.imbalance) for r in got.collect()} == {
         (f, s) for f in small for s in ("none", "balanced")}
-    assert len(calls) == 4      # two strategies by two folds, whatever the families
+    assert len(calls) == 2      # once a fold, whatever the strategies and families
     calls.clear()
     assert M.tune(df, ["v"], ["c"], "hit", "k", "logistic_regression", "none", k=2)[2] > 0
     assert len(calls) == 3      # two folds and the refit, for three combinations
