@@ -563,29 +563,32 @@ def s04_read_audio_library(spark, sf):
 from harrow.streaming import stream as X  # noqa: E402
 
 
-def _stage_events(spark, sf, with_repeats: bool) -> str:
-    """Events written as several files in time order (plus repeated ids, optionally)
-    so the stream runs over many micro-batches."""
-    ev = FX.table(spark, sf, "events")
-    if with_repeats:
-        ev = ev.unionByName(ev.filter(F.col("event_id") % 10 == 0))
-    path = scratch_path(spark, "events-stage")
-    # Slices are appended one after another in time order, so the file source (oldest
-    # file first) replays the log in event-time order, as a live feed would arrive.  A
-    # slice is as many files as the planner gives it.
-    secs = F.unix_micros(F.col("ts").cast("timestamp"))
-    cuts = ev.select(secs.alias("s")).approxQuantile("s", [i / 6 for i in range(1, 6)], 0.001)
+def _stage_slices(spark, df, micros, n: int = 6) -> str:
+    """Rows written as ``n`` slices in time order, one after another, so the file source
+    (oldest file first) replays them as a live feed would arrive.  A slice is as many files as
+    the planner gives it."""
+    path = scratch_path(spark, "stage")
+    cuts = df.select(micros.alias("s")).approxQuantile("s", [i / n for i in range(1, n)], 0.001)
     bounds = [None] + cuts + [None]
     for lo, hi in zip(bounds[:-1], bounds[1:]):
         cond = F.lit(True)
         if lo is not None:
-            cond = cond & (secs > F.lit(int(lo)))
+            cond = cond & (micros > F.lit(int(lo)))
         if hi is not None:
-            cond = cond & (secs <= F.lit(int(hi)))
-        ev.filter(cond).write.mode("append").parquet(path)
+            cond = cond & (micros <= F.lit(int(hi)))
+        df.filter(cond).write.mode("append").parquet(path)
     return path
 
 
+def _stage_events(spark, sf, with_repeats: bool) -> str:
+    """Events (plus repeated ids, optionally) staged so the stream runs over many
+    micro-batches."""
+    ev = FX.table(spark, sf, "events")
+    if with_repeats:
+        ev = ev.unionByName(ev.filter(F.col("event_id") % 10 == 0))
+    return _stage_slices(spark, ev, F.unix_micros(F.col("ts").cast("timestamp")))
+
+
 def stream_scorer(df):
     """A fixed logistic scorer on ``value`` (M12's contract) plus the verdict."""
     p = 1 / (1 + F.exp(-(F.col("value") - 50) / 20))
@@ -624,3 +627,62 @@ def x02_history_stats_stream(spark, sf):
     X.history_stats_stream(src, "ts", "event_id", "score", F.col("event_type") == "purchase",
                            sink, ckpt)
     return X.latest_per_window(spark, sink)
+
+
+def _event_bundle(spark, sf, rows, root, c):
+    """A model of purchases by value, published as the next version."""
+    from harrow.ml import models as M
+    from harrow.ml.bundle import bundle_metadata
+    model = M.fit_pipeline(rows, ["value"], [], "bought", "event_id", "logistic_regression",
+                           "balanced", {"C": c})
+    return X.publish_bundle(model.pipeline(), bundle_metadata(rows, ["value"], [], "bought"),
+                            {"model_name": "logistic_regression"}, root)
+
+
+@register("x01_score_stream_bundle", """
+SELECT event_id, CAST(1 + event_id % 2 AS INTEGER) AS bundle_version, CAST(0 AS DOUBLE) AS gap,
+       1 AS times FROM events""", doubles=["gap"])
+def x01_score_stream_bundle(spark, sf):
+    """A stream scored by saved bundles: even events arrive, are scored by version 1, a restart
+    finds nothing new; then version 2 is published and odd events arrive.  Per event: the
+    version, how far its score is from scoring the whole table with that version, and how often
+    it was scored."""
+    from harrow.ml.models import probability_of_positive
+    from harrow.sources.io import load_bundle
+    ev = FX.table(spark, sf, "events").withColumn(
+        "bought", (F.col("event_type") == "purchase").cast("int"))
+    root, stage, sink, ckpt = (scratch_path(spark, f"x1-{n}") for n in ("root", "stage", "sink", "ckpt"))
+    for part, c in ((0, 1.0), (1, 0.0001)):
+        _event_bundle(spark, sf, ev, root, c)
+        ev.filter(F.col("event_id") % 2 == part).write.mode("append").parquet(stage)
+        for _ in range(2):
+            X.score_stream_bundle(X.file_stream(spark, stage, ev.schema, 4), root, sink, ckpt)
+    whole = None
+    for version in (1, 2):
+        x = load_bundle(spark, f"{root}/v{version:06d}")[0].transform(ev)
+        x = x.select("event_id", F.lit(version).alias("bundle_version"),
+                     probability_of_positive(x).alias("p"))
+        whole = x if whole is None else whole.unionByName(x)
+    return (X.read_scores(spark, sink).join(whole, ["event_id", "bundle_version"])
+            .groupBy("event_id", "bundle_version")
+            .agg(F.max(F.abs(F.col("hit_potential") - F.col("p"))).alias("gap"),
+                 F.count(F.lit(1)).cast("int").alias("times")))
+
+
+@register("w07_stream_consecutive_repeats", with_ctes(REPEAT_SQL) + """,
+s AS (SELECT *, lag(mode) OVER w AS pm, lag(score) OVER w AS ps, lag(detail) OVER w AS pd,
+             lag(1) OVER w AS has_prev
+      FROM rep WINDOW w AS (PARTITION BY user_id ORDER BY timestamp, id))
+SELECT id, user_id, mode, score, detail FROM s
+WHERE has_prev IS NULL OR NOT (mode IS NOT DISTINCT FROM pm AND score IS NOT DISTINCT FROM ps
+                               AND detail IS NOT DISTINCT FROM pd)""",
+          doubles=["score"])
+def w07_stream_consecutive_repeats(spark, sf):
+    """W7 over the log as a stream of many micro-batches, stopped and started again."""
+    log = repeated_log(spark, sf)
+    stage = _stage_slices(spark, log, F.col("timestamp"))
+    sink, ckpt = scratch_path(spark, "w7-sink"), scratch_path(spark, "w7-ckpt")
+    for _ in range(2):
+        X.drop_repeats_stream(X.file_stream(spark, stage, log.schema, 4), ["user_id"],
+                              ["timestamp", "id"], ["mode", "score", "detail"], sink, ckpt)
+    return spark.read.schema(log.schema).parquet(sink).select("id", "user_id", "mode", "score", "detail")

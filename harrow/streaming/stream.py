@@ -1,4 +1,4 @@
-"""Structured Streaming variants of batch operators.
+"""Structured Streaming variants of batch operators.
 
 Both read a file source incrementally and write with a checkpoint in the shared
 checkpoint folder, so a restarted query resumes exactly where it stopped.  X2 is a
@@ -9,11 +9,17 @@ which makes the sink idempotent under retries.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from harrow.functions.columns import verdict_band
+from harrow.sources.io import load_bundle, path_exists, save_bundle
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType,
@@ -70,3 +76,104 @@ def latest_per_window(spark: SparkSession, sink: str, key: str = "window_start")
     cols = [c for c in log.columns if c not in (key, "batch_id")]
     best = log.groupBy(key).agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("s"))
     return best.select(key, *[F.col(f"s.{c}").alias(c) for c in cols])
+
+
+# X1 from saved bundles -------------------------------------------------------------
+def publish_bundle(model, metadata: DataFrame, info: dict, root: str) -> int:
+    """S6 as a numbered version under ``root``; the marker that makes it visible to running
+    streams is written last.  One publisher at a time."""
+    spark = metadata.sparkSession
+    version = (newest_bundle(spark, root) or 0) + 1
+    save_bundle(model, metadata, info, f"{root}/v{version:06d}")
+    spark.createDataFrame([(version,)], "version int").write.mode("append").parquet(
+        f"{root}/published")
+    return version
+
+
+def newest_bundle(spark: SparkSession, root: str) -> int | None:
+    """The highest published version, if any."""
+    if not path_exists(spark, f"{root}/published"):
+        return None
+    return spark.read.schema("version int").parquet(f"{root}/published").agg(F.max("version")).first()[0]
+
+
+def score_stream_bundle(stream: DataFrame, root: str, sink: str, checkpoint: str,
+                        available_now: bool = True):
+    """X1 with S6: every micro-batch is scored by the newest bundle published under ``root``.
+
+    A batch notes its version before it scores and writes to a folder of its own, which a replay
+    replaces using the noted version: after a restart nothing is scored twice, and no batch mixes
+    versions.  Adds ``hit_potential``, ``predicted_hit``, ``verdict`` and ``bundle_version``; read
+    the rows with ``read_scores``."""
+    loaded: dict[int, object] = {}
+
+    def score(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        note = f"{sink}/versions/batch_id={batch_id}"
+        if path_exists(spark, f"{note}/_SUCCESS"):
+            version = spark.read.parquet(note).first()["version"]
+        else:
+            version = newest_bundle(spark, root)
+            if version is None:
+                raise FileNotFoundError(f"no bundle published in {root}")
+            spark.createDataFrame([(version,)], "version int").write.mode("overwrite").parquet(note)
+        if version not in loaded:
+            loaded.clear()
+            loaded[version] = load_bundle(spark, f"{root}/v{version:06d}")[0]
+        x = loaded[version].transform(batch)
+        p = vector_to_array(F.col("probability"))[1]
+        (x.select(*batch.columns, p.alias("hit_potential"), (p >= 0.5).cast("int").alias("predicted_hit"),
+                  verdict_band(p).alias("verdict"), F.lit(version).alias("bundle_version"))
+         .write.mode("overwrite").parquet(f"{sink}/scores/batch_id={batch_id}"))
+
+    writer = stream.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    q = writer.start()
+    if available_now:
+        q.awaitTermination()
+    return q
+
+
+def read_scores(spark: SparkSession, sink: str) -> DataFrame:
+    """All scored rows of ``score_stream_bundle``, with their ``batch_id``."""
+    return spark.read.parquet(f"{sink}/scores")
+
+
+# W7 over a live log -----------------------------------------------------------------
+def drop_repeats_stream(stream: DataFrame, partition: Sequence[str], order: Sequence[str],
+                        signature: Sequence[str], sink: str, checkpoint: str,
+                        forget_after_ms: int | None = None, available_now: bool = True):
+    """W7 as a stateful stream: a record whose signature equals that of the record before it in
+    its partition is dropped (null-safe), also when that one came in an earlier micro-batch.
+
+    The state of a partition is a digest of its last signature.  Within a micro-batch records
+    are taken in ``order``; one that arrives later than its successors is compared with the last
+    one seen.  With ``forget_after_ms`` an idle partition's state is dropped, and its next record
+    is a first one.  The parquet sink's commit log makes the result exactly once."""
+    marked = stream.withColumn("__s", F.sha2(F.to_json(
+        F.struct(*signature), {"ignoreNullFields": "false"}), 256))
+
+    def keep(_, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(batches)).sort_values(list(order), kind="stable")
+        last = state.get[0] if state.exists else None
+        before = rows["__s"].shift(1)
+        before.iloc[0] = last
+        state.update((rows["__s"].iloc[-1],))
+        if forget_after_ms:
+            state.setTimeoutDuration(forget_after_ms)
+        yield rows[rows["__s"] != before].drop(columns="__s")
+
+    timeout = (GroupStateTimeout.ProcessingTimeTimeout if forget_after_ms
+               else GroupStateTimeout.NoTimeout)
+    kept = marked.groupBy(*partition).applyInPandasWithState(
+        keep, stream.schema, "signature string", "append", timeout)
+    writer = (kept.writeStream.format("parquet").option("path", sink)
+              .option("checkpointLocation", checkpoint).outputMode("append"))
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    q = writer.start()
+    if available_now:
+        q.awaitTermination()
+    return q
