@@ -1,26 +1,27 @@
 """Personal data and the terms that give it away.
 
 Pattern spans (email, ip, card, phone) are found first; their normalised values are the
-protected entities.  Corpus co-occurrence then says how much a term of the same document tells about
-an entity: with document counts ``n`` of all, ``n_c`` of the entity, ``n_t`` of the term and
-``n_ct`` of both, the disclosure is the share of the entity's information that the term
-gives, ``log2(n * s / n_t) / log2(n / n_c)`` with ``s`` the share of the entity's documents
-that hold the term.  With ``SUPPORT`` or more different texts behind a pair ``s`` is
-``n_ct / n_c``; with fewer it is the lower Wilson bound of that share over different texts
-(one of one: 0.21), so pairs of one or two texts are judged too, by less than they show.
-Terms at ``REMOVE`` or more are removed, terms at ``GENERALISE`` or more are replaced by a
-class, both only in documents of that entity, so a document without protected data is never
-changed.
-
-All counts cover all documents.  Pattern spans and the terms beside them are found in one
-pass and kept in a narrow table; pair counts, entity counts and term counts are sums
-combined before the shuffle.  Entities that only one row holds have the same counts, so one
-of them per row stands for all.  Flagged pairs come back to the occurrences by a plain join,
-whose hot entities the planner may split.
-
-Defined cases: null text is empty; repeated rows each get their spans and count as
-documents (but as one text for the support); null ids are kept; empty tables give empty
-results; extra columns are not read."""
+protected entities.  Corpus co-occurrence then says how much a term near an entity tells about
+it.  What is left to learn of an entity once a term is known is ``-log2 P(entity | term)`` bits,
+and the probability is the lower Wilson bound, over different texts, of the share of the term's
+rows that hold the entity: three texts of three say 0.44 (1.19 bits), nine of nine 0.70 (0.51
+bits), one of one only 0.21, whatever the size of the corpus.  So a pair needs ``LEAST_TEXTS``
+different texts behind it, rarity alone flags nothing, and the same evidence gives the same
+verdict in a corpus of any size.  Terms that leave ``REMOVE_BITS`` or less are removed, terms
+that leave ``GENERALISE_BITS`` or less are replaced by the class of the word (a number, a name,
+a word); both only near that entity, so a text without protected data is never changed.
+
+Near is up to ``near`` words on either side of a span: pairs grow with the spans of a text, not
+with spans times words.  All counts cover all documents.  Pattern spans and the words beside
+them are found in one pass and kept once, in a narrow table; only entities of ``LEAST_TEXTS``
+texts or more, the only ones that can be told, go on to pairs, and only terms of such pairs are
+counted over all texts.  Counts are sums combined before the shuffle.  Flagged pairs come back
+to the occurrences by a plain join, whose hot entities the planner may split.
+
+Defined cases: null text is empty; repeated rows each get their spans and count as rows (but
+as one text); ties need no order, as nothing is ranked; null ids are kept; empty tables give
+empty results; very long texts are scanned whole, in linear time; extra columns are not read,
+and ``sanitise`` keeps them whatever their names."""
 
 from __future__ import annotations
 
@@ -35,14 +36,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harrow.llm.common import WORD_RE, id_and_text, small_batches, stored
+from harrow.llm.common import WORD_RE, id_and_text, stored
 
 KINDS = ("email", "ip", "card", "phone", "term", "general")
 BASE_KINDS = 4
-SUPPORT = 3
+LEAST_TEXTS = 3
+NEAR = 64
 Z = 1.96
-REMOVE = 0.9
-GENERALISE = 0.75
+# Bits left to learn of an entity: probabilities of at least 0.65 and 0.4.
+REMOVE_BITS = 0.62
+GENERALISE_BITS = 1.32
 _FLUSH = 200_000
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -117,15 +120,13 @@ def _term(word: str) -> tuple[str, int, int] | None:
 
 def near_terms(text: str, spans: list[tuple[int, int, int]],
                near: int | None = None) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) of up to ``near`` words on either side of every span, or of
-    all words."""
+    """(entity, term, start, end) of up to ``near`` words on either side of every span."""
     words = free_terms(text, spans)
     at = [w[0] for w in words]
     out = set()
     for span in spans:
         entity, i = entity_of(text, span), bisect_left(at, span[0])
-        beside = words if near is None else words[max(0, i - near):i + near]
-        out |= {(entity, term, a, b) for _, term, a, b in beside}
+        out |= {(entity, term, a, b) for _, term, a, b in words[max(0, i - near):i + near]}
     return sorted(out)
 
 
@@ -152,18 +153,13 @@ _SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("ki
                       T.StructField("end", T.IntegerType())])
 _NEAR = T.StructType([T.StructField("entity", T.StringType()), T.StructField("term", T.StringType()),
                       T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
-_PAIR = T.StructType([T.StructField("entity", T.StringType()), T.StructField("term", T.StringType())])
 _SCAN = T.StructType([T.StructField("base", T.ArrayType(_SPAN)),
                       T.StructField("entities", T.ArrayType(T.StringType())),
-                      T.StructField("near", T.ArrayType(_NEAR)),
-                      T.StructField("pairs", T.ArrayType(_PAIR))])
+                      T.StructField("near", T.ArrayType(_NEAR))])
 
 
-def scan(docs: DataFrame, near: int | None = None) -> DataFrame:
-    """``doc_id, th, base, entities, near, pairs`` per row, stored: one pass over the texts.
-    ``pairs`` are the different ones of ``near``.  Terms that stand beside all entities of
-    the row are kept once, under no entity."""
-    small_batches(docs.sparkSession)
+def scan(docs: DataFrame, near: int = NEAR) -> DataFrame:
+    """``doc_id, th, base, entities, near`` per row, stored: one pass over the texts."""
 
     @F.pandas_udf(_SCAN)
     def look(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -172,23 +168,19 @@ def scan(docs: DataFrame, near: int | None = None) -> DataFrame:
             for text in batch:
                 text = text or ""
                 spans = base_spans(text)
-                beside = [(None, *w[1:]) for w in free_terms(text, spans)] if near is None \
-                    else near_terms(text, spans, near)
                 rows.append(([dict(start=s, kind=k, end=e) for s, k, e in spans],
                              sorted({entity_of(text, s) for s in spans}),
                              [dict(entity=c, term=t, start=s, end=e)
-                              for c, t, s, e in beside],
-                             [dict(entity=c, term=t) for c, t in
-                              dict.fromkeys((c, t) for c, t, _, _ in beside)]))
-            yield pd.DataFrame(rows, columns=["base", "entities", "near", "pairs"])
+                              for c, t, s, e in near_terms(text, spans, near)]))
+            yield pd.DataFrame(rows, columns=["base", "entities", "near"])
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), look("text").alias("s"))
     return stored(rows.select("doc_id", "th", "s.*"), "privacy-scan")
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """``term, n``: rows of documents that hold a term, summed within tasks first."""
-    small_batches(docs.sparkSession)
+def term_counts(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """``term, n_t`` for the terms of ``asked``: rows of documents that hold a term, summed
+    within tasks first."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: Counter[str] = Counter()
@@ -203,33 +195,28 @@ def term_counts(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({"term": list(held), "n": list(held.values())})
 
     return (docs.select("text").mapInPandas(count, "term string, n long")
+            .join(asked.select("term").distinct(), "term", "left_semi")
             .groupBy("term").agg(F.sum("n").alias("n_t")))
 
 
-def entity_counts(scanned: DataFrame) -> DataFrame:
-    """``entity, n_c, texts_c``: rows and different texts that hold an entity, stored."""
-    held = scanned.select("th", F.explode("entities").alias("entity"))
-    return stored(held.groupBy("entity", "th").agg(F.count("*").alias("n")).groupBy("entity")
-                  .agg(F.sum("n").alias("n_c"), F.count("*").alias("texts_c")),
-                  "privacy-entities")
-
-
-def pairs_of(scanned: DataFrame, per_entity: DataFrame, near: int | None = None) -> DataFrame:
-    """``doc_id, th, entity, term``: every pair of a row once."""
-    rows = scanned.where(F.size("pairs") > 0)
-    if near is not None:
-        return rows.select("doc_id", "th", F.explode("pairs").alias("p")).select(
-            "doc_id", "th", "p.entity", "p.term")
-    many = F.collect_set(F.when(F.col("n_c") > 1, F.col("entity")))
-    one = F.collect_list(F.when(F.col("n_c") == 1, F.col("entity")))
-    stand = (rows.select("doc_id", "th", F.explode("entities").alias("entity"))
-             .join(per_entity, "entity").groupBy("doc_id", "th")
-             .agg(F.concat(many, F.slice(F.array_sort(one), 1, 1)).alias("stand"))
-             .select(F.col("doc_id").alias("__i"), F.col("th").alias("__t"), "stand"))
+def shared_entities(scanned: DataFrame, least: int = LEAST_TEXTS) -> DataFrame:
+    """The entities that ``least`` different texts or more hold, stored."""
+    held = scanned.select("th", F.explode("entities").alias("entity")).distinct()
+    return stored(held.groupBy("entity").agg(F.count("*").alias("texts"))
+                  .where(F.col("texts") >= least).select("entity"), "privacy-entities")
+
+
+def occurrences(scanned: DataFrame, shared: DataFrame) -> DataFrame:
+    """``doc_id, th, near`` of the rows with a shared entity, ``near`` cut down to those
+    entities; stored."""
+    known = (scanned.select("doc_id", "th", F.explode("entities").alias("entity"))
+             .join(shared, "entity")
+             .groupBy(F.col("doc_id").alias("__i"), F.col("th").alias("__t"))
+             .agg(F.collect_set("entity").alias("known")))
     same = F.col("doc_id").eqNullSafe(F.col("__i")) & (F.col("th") == F.col("__t"))
-    return (rows.select("doc_id", "th", "pairs").join(stand, same)
-            .select("doc_id", "th", "stand", F.explode("pairs").alias("p"))
-            .select("doc_id", "th", F.explode("stand").alias("entity"), F.col("p.term").alias("term")))
+    kept = F.filter("near", lambda e: F.array_contains(F.col("known"), e["entity"]))
+    return stored(scanned.where(F.size("near") > 0).join(known, same)
+                  .select("doc_id", "th", kept.alias("near")), "privacy-near")
 
 
 def lower_share(k, m, z: float = Z):
@@ -238,49 +225,39 @@ def lower_share(k, m, z: float = Z):
     return (k + z * z / 2 - half) / (m + z * z)
 
 
-def disclosing(pairs: DataFrame, per_entity: DataFrame, docs: DataFrame, n: int,
-               support: int = SUPPORT, remove: float = REMOVE,
-               generalise: float = GENERALISE) -> DataFrame:
-    """``entity, term, kind, disclosure`` of the pairs at or above the thresholds, of ``n``
-    rows."""
+def disclosing(near: DataFrame, docs: DataFrame, least: int = LEAST_TEXTS,
+               remove: float = REMOVE_BITS, generalise: float = GENERALISE_BITS) -> DataFrame:
+    """``entity, term, kind, bits`` of the pairs that leave few enough bits."""
+    pair = F.transform("near", lambda e: F.struct(e["entity"].alias("entity"), e["term"].alias("term")))
+    pairs = near.select("th", F.explode(F.array_distinct(pair)).alias("p")).select("th", "p.*")
     per_text = pairs.groupBy("entity", "term", "th").agg(F.count("*").alias("n"))
-    known = (per_text.groupBy("entity", "term")
-             .agg(F.sum("n").alias("n_ct"), F.count("*").alias("texts")))
-    rows = known.join(per_entity, "entity").join(term_counts(docs), "term")
-    share = F.when(F.col("texts") >= support, F.col("n_ct") / F.col("n_c")).otherwise(
-        lower_share(F.col("texts"), F.col("texts_c")))
-    told = F.log2(F.lit(float(n)) * share / F.col("n_t"))
-    whole = F.log2(F.lit(float(n)) / F.col("n_c"))
-    rows = rows.withColumn("disclosure", F.when(whole > 0, told / whole))
-    return stored(rows.where(F.col("disclosure") >= generalise).select(
-        "entity", "term", F.when(F.col("disclosure") >= remove, 4).otherwise(5).alias("kind"),
-        "disclosure"), "privacy-pairs")
-
-
-def find_spans(docs: DataFrame, near: int | None = None, support: int = SUPPORT,
-               remove: float = REMOVE, generalise: float = GENERALISE, id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
+    known = stored(per_text.groupBy("entity", "term")
+                   .agg(F.sum("n").alias("n_ct"), F.count("*").alias("texts"))
+                   .where(F.col("texts") >= least), "privacy-known")
+    rows = known.join(term_counts(docs, known), "term")
+    # Copies weigh alike on both sides: trials are texts, in the proportion of rows.
+    trials = F.col("texts") * F.col("n_t") / F.col("n_ct")
+    rows = rows.withColumn("bits", -F.log2(lower_share(F.col("texts"), trials)))
+    return stored(rows.where(F.col("bits") <= generalise).select(
+        "entity", "term", F.when(F.col("bits") <= remove, 4).otherwise(5).alias("kind"), "bits"),
+        "privacy-pairs")
+
+
+def find_spans(docs: DataFrame, near: int = NEAR, least: int = LEAST_TEXTS,
+               remove: float = REMOVE_BITS, generalise: float = GENERALISE_BITS,
+               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, th, base, spans`` per row: the pattern spans, and those with the spans of
     disclosing terms, sorted by start and kind."""
     docs = id_and_text(docs, id_col, text_col)
     scanned = scan(docs, near)
-    per_entity = entity_counts(scanned)
-    pairs = pairs_of(scanned, per_entity, near)
-    flagged = disclosing(pairs, per_entity, docs, scanned.count(), support, remove, generalise)
-    told = pairs.join(flagged, ["entity", "term"])
-    if near is None:
-        told = told.groupBy("doc_id", "th", "term").agg(
-            F.min("kind").alias("kind"), F.first(F.lit(None).cast("string")).alias("entity"))
-    told = told.select(F.col("doc_id").alias("__i"), F.col("th").alias("__t"), "entity", "term",
-                       "kind")
-    same = F.col("doc_id").eqNullSafe(F.col("__i")) & (F.col("th") == F.col("__t"))
-    found = (scanned.select("doc_id", "th", F.explode("near").alias("p"))
-             .join(told, same & (F.col("p.term") == F.col("term"))
-                   & F.col("p.entity").eqNullSafe(F.col("entity")))
-             .groupBy("doc_id", "th", F.col("p.start").alias("start"), F.col("p.end").alias("end"))
-             .agg(F.min("kind").alias("kind"))
+    beside = occurrences(scanned, shared_entities(scanned, least))
+    flagged = disclosing(beside, docs, least, remove, generalise)
+    found = (beside.select("doc_id", "th", F.explode("near").alias("p")).select("doc_id", "th", "p.*")
+             .join(flagged, ["entity", "term"])
+             .groupBy("doc_id", "th", "start", "end").agg(F.min("kind").alias("kind"))
              .groupBy(F.col("doc_id").alias("__i"), F.col("th").alias("__t"))
              .agg(F.collect_list(F.struct("start", "kind", "end")).alias("more")))
+    same = F.col("doc_id").eqNullSafe(F.col("__i")) & (F.col("th") == F.col("__t"))
     spans = F.array_sort(F.concat("base", F.coalesce("more", F.array().cast(T.ArrayType(_SPAN)))))
     return scanned.join(found, same, "left").select("doc_id", "th", "base", spans.alias("spans"))
 
@@ -292,6 +269,13 @@ def spans_text(spans: str):
         ":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
 
 
+def word_class(word: str) -> str:
+    """What a generalised word is replaced by."""
+    if any(c.isdigit() for c in word):
+        return "<NUMBER>"
+    return "<NAME>" if word[:1].isupper() else "<WORD>"
+
+
 def rewrite(text: str, spans) -> str:
     """The text with its spans replaced; of overlapping spans the first names the whole."""
     merged: list[list[int]] = []
@@ -302,7 +286,9 @@ def rewrite(text: str, spans) -> str:
             merged.append([s["start"], s["end"], s["kind"]])
     out, at = [], 0
     for start, end, kind in merged:
-        out += [text[at:start], "" if KINDS[kind] == "term" else f"<{KINDS[kind].upper()}>"]
+        name = KINDS[kind]
+        out += [text[at:start], "" if name == "term" else word_class(text[start:end])
+                if name == "general" else f"<{name.upper()}>"]
         at = end
     return "".join([*out, text[at:]])
 
@@ -315,7 +301,6 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .groupBy(F.col("doc_id").alias("__i"), F.col("th").alias("__t"))
              .agg(F.first("spans").alias("__spans")))
     spans = stored(spans, "privacy-spans")
-    small_batches(docs.sparkSession)
 
     @F.pandas_udf(T.StringType())
     def change(texts: pd.Series, spans: pd.Series) -> pd.Series:

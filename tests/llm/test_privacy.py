@@ -61,13 +61,10 @@ def make():
     return docs
 
 
-def brute(docs, near=8, support=3):
-    n = len(docs)
+def brute(docs, near=P.NEAR, least=P.LEAST_TEXTS, z=1.96):
     scans = [(d, t or "", slow(t or "")) for d, t in docs]
-    nc, nt, nct, texts = {}, {}, {}, {}
+    nt, nct, texts = {}, {}, {}
     for _, t, spans in scans:
-        for c in {P.entity_of(t, s) for s in spans}:
-            nc[c] = nc.get(c, 0) + 1
         for w in {x[0] for w in re.findall(r"[^\x20\x09-\x0D]+", t) if (x := P._term(w))}:
             nt[w] = nt.get(w, 0) + 1
         for pair in {(c, w) for c, w, _, _ in P.near_terms(t, spans, near)}:
@@ -75,10 +72,11 @@ def brute(docs, near=8, support=3):
             texts.setdefault(pair, set()).add(t)
     told = {}
     for (c, w), x in nct.items():
-        if len(texts[c, w]) >= support and n > nc[c]:
-            share = math.log2(n * x / (nc[c] * nt[w])) / math.log2(n / nc[c])
-            if share >= P.GENERALISE:
-                told[c, w] = 4 if share >= P.REMOVE else 5
+        k = len(texts[c, w])
+        m = k * nt[w] / x
+        low = (k + z * z / 2 - z * math.sqrt(k * (m - k) / m + z * z / 4)) / (m + z * z)
+        if k >= least and -math.log2(low) <= P.GENERALISE_BITS:
+            told[c, w] = 4 if -math.log2(low) <= P.REMOVE_BITS else 5
     out = []
     for d, t, spans in scans:
         more = {}
@@ -113,46 +111,55 @@ def test_empty(spark):
     assert P.find_spans(df).count() == 0 and P.sanitise(df).count() == 0
 
 
-def smoothed(docs, near=None, support=3, z=1.96):
-    """Like brute, with pairs of fewer texts judged by the lower Wilson bound."""
-    n = len(docs)
-    scans = [(d, t or "", slow(t or "")) for d, t in docs]
-    rows, texts, held = {}, {}, {}
-    for i, (_, t, spans) in enumerate(scans):
-        for w in {x[0] for w in re.findall(r"[^\x20\x09-\x0D]+", t) if (x := P._term(w))}:
-            held[w] = held.get(w, 0) + 1
-        for key in {P.entity_of(t, s) for s in spans} | {x[:2] for x in P.near_terms(t, spans, near)}:
-            rows.setdefault(key, set()).add(i)
-            texts.setdefault(key, set()).add(t)
-    told = {}
-    for pair in [k for k in rows if isinstance(k, tuple)]:
-        c, w = pair
-        k, m, share = len(texts[pair]), len(texts[c]), len(rows[pair]) / len(rows[c])
-        if k < support:
-            share = (k + z * z / 2 - z * math.sqrt(k * (m - k) / m + z * z / 4)) / (m + z * z)
-        if n > len(rows[c]):
-            x = math.log2(n * share / held[w]) / math.log2(n / len(rows[c]))
-            if x >= P.GENERALISE:
-                told[pair] = 4 if x >= P.REMOVE else 5
-    out = []
-    for d, t, spans in scans:
-        more = {}
-        for c, w, s, e in P.near_terms(t, spans, near):
-            if (c, w) in told:
-                more[s, e] = min(more.get((s, e), 9), told[c, w])
-        out.append((d, sorted(spans + [(s, k, e) for (s, e), k in more.items()])))
-    return out
-
-
-def test_one_text_is_judged_to_its_end(spark):
-    rng = random.Random(8)
-    docs = [(i, " ".join(rng.choices([f"word{j}" for j in range(40)], k=30))) for i in range(3000)]
-    for i in range(0, 60, 3):     # one or two texts a value; a far term that no other text has
-        docs[i] = (i, f"Nickname{i} {docs[i][1]} mail u{i // 6}@x.org or +44 20 7946 {1000 + i}")
-    docs += [docs[0], (None, docs[3][1]), (7000, f"{docs[6][1]} +44 20 7946 1009")]
-    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    for near in (None, 8):
-        got = [(r.doc_id, [tuple(s) for s in r.spans]) for r in P.find_spans(df, near=near).collect()]
-        assert sorted(got, key=str) == sorted(smoothed(docs, near), key=str), near
-    terms = {d: [t for t in s if t[1] >= P.BASE_KINDS] for d, s in smoothed(docs)}
-    assert all(any(s == 0 for s, _, _ in terms[i]) for i in range(9, 60, 3))
+def planted(n_rows, texts=10):
+    """``texts`` texts with one address, a word of its own and one that half of them have; the
+    other rows are small talk that shares no word with them but "and"."""
+    rng = random.Random(5)
+    docs = [(i, f"note {rng.random()} Falconer and {'harbour' if i % 2 else 'quay'} write to jo@x.org "
+                f"then {rng.choice(['go', 'stay'])}") for i in range(texts)]
+    return docs + [(1000 + i, f"talk {i} and tea harbour") for i in range(n_rows - texts)]
+
+
+def test_same_evidence_same_verdict_at_any_size(spark):
+    """The rule asks for association, not rarity, and the size of the corpus is no part of it."""
+    verdicts = []
+    for n in (100, 10_000):
+        df = spark.createDataFrame(planted(n), "doc_id long, text string").repartition(4)
+        near = P.occurrences(scanned := P.scan(df), P.shared_entities(scanned))
+        verdicts.append({(r.entity, r.term): (r.kind, round(r.bits, 9))
+                         for r in P.disclosing(near, df).collect()})
+    assert verdicts[0] == verdicts[1] and {t for _, t in verdicts[0]} >= {"falconer"}
+    assert {k for (_, t), (k, _) in verdicts[0].items() if t == "falconer"} == {4}
+    assert {k for (_, t), (k, _) in verdicts[0].items() if t == "quay"} == {5}
+    assert not {"harbour", "and"} & {t for _, t in verdicts[0]}
+    # The same counts as in a corpus of ten million rows: only the term's own rows matter.
+    assert "n_t" in P.term_counts(df, df.selectExpr("'falconer' as term")).columns
+
+
+def test_one_text_is_no_evidence(spark):
+    docs = [(0, "please write to jane@x.org about the gardening umbrella and the teapot")]
+    docs += [(i, f"some short note {i}") for i in range(1, 700)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    text = {r.doc_id: r.text for r in P.sanitise(df).collect()}
+    assert text[0] == "please write to <EMAIL> about the gardening umbrella and the teapot"
+
+
+def test_long_lists_of_addresses_stay_linear(spark):
+    """Pairs grow with the spans, not with spans times words."""
+    people = " ".join(f"u{i}@x.org" for i in range(200))
+    docs = [(i, " ".join(f"w{j}" for j in range(700)) + f" n{i} " + people) for i in range(3)]
+    scanned = P.scan(spark.createDataFrame(docs, "doc_id long, text string"))
+    sizes = [len(r.near) for r in P.occurrences(scanned, P.shared_entities(scanned)).collect()]
+    assert max(sizes) <= 200 * 2 * P.NEAR
+
+
+def test_rewriting_by_class_and_clashing_names(spark):
+    docs = planted(60)
+    df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr(
+        "'a' as spans", "doc_id", "text", "1 as th", "2 as near", "'t' as term", "3 as __text2")
+    out = P.sanitise(df)
+    assert out.columns == df.columns
+    got = {r.doc_id: r.text for r in out.collect()}
+    assert "Falconer" not in got[0] and "<EMAIL>" in got[0] and "<WORD>" in got[0]
+    assert got[1000] == docs[10][1]
+    assert P.word_class("Quay") == "<NAME>" and P.word_class("r2d2") == "<NUMBER>"
