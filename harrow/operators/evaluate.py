@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harrow.operators.joins import attach
-from harrow.operators.rank import ordered_cumsum, thin_curve
+from harrow.operators.rank import ordered_cumsum, thin_curve, thin_position
 
 # Hypothesis thresholds (fixed values).
 H1_ACCURACY = 0.70
@@ -115,54 +115,79 @@ def metrics_per(df: DataFrame, by: Sequence[str], y_true: str = "y_true", y_pred
     return counts.join(auc, "__g", "left").select("__g.*", *m, "roc_auc")
 
 
+def _segments(df: DataFrame, by: Sequence[str], y_true: str, y_score: str) -> DataFrame:
+    """Per group and distinct score, highest first: ``pos`` and ``neg`` there, ``idx`` (from 1),
+    ``tps`` and ``fps`` up to it, ``m``, ``P`` and ``N`` of the group and the ``next`` row.
+
+    One range layout over (group, score) for all groups; running sums restart per group by
+    taking off what they held at its start, so one group with most of the rows is spread."""
+    y = F.col(y_true).cast("long")
+    group = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
+    scores = (df.withColumn("__g", group).filter(F.col(y_score).isNotNull())
+              .groupBy("__g", F.col(y_score).cast("double").alias("score"))
+              .agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"), F.lit(1).alias("one")))
+    cum = ordered_cumsum(scores, ["__g", F.col("score").desc()], ["pos", "neg", "one"],
+                         following=["pos", "neg"])
+    totals = [F.min(F.col(f"cum_{v}") - F.col(v)).alias(f"s_{v}") for v in ("pos", "neg", "one")]
+    totals += [F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.sum("one").alias("m")]
+    joined = (cum.join(cum.groupBy("__g").agg(*totals), "__g") if by
+              else attach(cum, cum.agg(*totals)))
+    return joined.select("__g", "score", "pos", "neg", "next", "m", "P", "N", *[
+        (F.col(f"cum_{v}") - F.col(f"s_{v}")).alias(n)
+        for v, n in (("pos", "tps"), ("neg", "fps"), ("one", "idx"))])
+
+
+def _ends(curve: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row of ``m``, ``P`` and ``N`` per group; without groups always one row."""
+    sums = [F.max(c).alias(c) for c in ("m", "P", "N")]
+    return curve.groupBy("__g").agg(*sums) if by else curve.agg(F.max("__g").alias("__g"), *sums)
+
+
 # E3 -------------------------------------------------------------------------
 def roc_curve(df: DataFrame, y_true: str = "y_true", y_score: str = "y_score",
-              drop_intermediate: bool = True) -> DataFrame:
-    """(position, threshold, fpr, tpr) by descending threshold, (0, 0) first,
-    collinear interior points dropped.  Neighbours come from an equi-join on the
-    threshold index, so no global window is needed."""
-    cum = (_descending_counts(df, y_true, y_score)
-           .select("score", F.col("cum_one").alias("idx"), F.col("cum_pos").alias("tps"),
-                   F.col("cum_neg").alias("fps")))
-    totals = cum.agg(F.max("idx").alias("m"), F.max("tps").alias("P"), F.max("fps").alias("N"))
-    cum = attach(cum, totals)
+              drop_intermediate: bool = True, by: Sequence[str] = ()) -> DataFrame:
+    """(position, threshold, fpr, tpr) by descending threshold, (0, 0) first, collinear
+    interior points dropped; of every group of ``by`` in one pass.
+
+    A point is collinear if the step to it and the step after it are the same, so a row only
+    needs the counts of the next one: no self-join."""
+    rows = _segments(df, by, y_true, y_score)
+    ends = _ends(rows, by)
     if drop_intermediate:
-        prev = cum.select((F.col("idx") + 1).alias("idx"), F.col("tps").alias("tps_p"),
-                          F.col("fps").alias("fps_p"))
-        nxt = cum.select((F.col("idx") - 1).alias("idx"), F.col("tps").alias("tps_n"),
-                         F.col("fps").alias("fps_n"))
-        j = cum.join(prev, "idx", "left").join(nxt, "idx", "left")
-        bend = ((F.col("fps_n") - 2 * F.col("fps") + F.col("fps_p")) != 0) | (
-            (F.col("tps_n") - 2 * F.col("tps") + F.col("tps_p")) != 0)
-        kept = j.filter((F.col("idx") == 1) | (F.col("idx") == F.col("m")) | bend)
-        kept = ordered_cumsum(kept.withColumn("k", F.lit(1)), ["idx"], ["k"])
-        kept = kept.withColumn("position", F.col("cum_k"))
+        bend = (F.col("next.pos") != F.col("pos")) | (F.col("next.neg") != F.col("neg"))
+        kept = rows.filter((F.col("idx") == 1) | (F.col("idx") == F.col("m")) | bend)
+        kept = ordered_cumsum(kept.withColumn("k", F.lit(1)), ["__g", "idx"], ["k"])
+        # The first point of a group says how many came before the group.
+        first = kept.where("idx = 1").select("__g", (F.col("cum_k") - 1).alias("before"))
+        kept = kept.join(first, "__g") if by else kept.withColumn("before", F.lit(0))
+        rows = kept.withColumn("position", F.col("cum_k") - F.col("before"))
     else:
-        kept = cum.withColumn("position", F.col("idx"))
-    pts = kept.select("position", F.col("score").alias("threshold"),
+        rows = rows.withColumn("position", F.col("idx"))
+    own = [F.col(f"__g.{c}").alias(c) for c in by]
+    pts = rows.select(*own, "position", F.col("score").alias("threshold"),
                       F.when(F.col("N") > 0, F.col("fps") / F.col("N")).alias("fpr"),
                       F.when(F.col("P") > 0, F.col("tps") / F.col("P")).alias("tpr"))
-    origin = totals.select(F.lit(0).cast("long").alias("position"),
-                           F.lit(float("inf")).alias("threshold"),
-                           F.when(F.col("N") > 0, F.lit(0.0)).alias("fpr"),
-                           F.when(F.col("P") > 0, F.lit(0.0)).alias("tpr"))
+    origin = ends.select(*own, F.lit(0).cast("long").alias("position"),
+                         F.lit(float("inf")).alias("threshold"),
+                         F.when(F.col("N") > 0, F.lit(0.0)).alias("fpr"),
+                         F.when(F.col("P") > 0, F.lit(0.0)).alias("tpr"))
     return origin.unionByName(pts)
 
 
 # E4 -------------------------------------------------------------------------
-def pr_curve(df: DataFrame, y_true: str = "y_true", y_score: str = "y_score") -> DataFrame:
+def pr_curve(df: DataFrame, y_true: str = "y_true", y_score: str = "y_score",
+             by: Sequence[str] = ()) -> DataFrame:
     """(position, threshold, precision, recall) at every distinct threshold, lowest
-    first, then the closing point (recall 0, precision 1)."""
-    cum = _descending_counts(df, y_true, y_score)
-    totals = cum.agg(F.max("cum_one").alias("last"), F.max("cum_pos").alias("P"))
-    j = attach(cum, totals)
-    pts = j.select((F.col("last") - F.col("cum_one")).alias("position"),
-                   F.col("score").alias("threshold"),
-                   (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
-                   F.when(F.col("P") > 0, F.col("cum_pos") / F.col("P")).alias("recall"))
-    end = totals.where("last is not null").select(F.col("last").alias("position"),
-                            F.lit(None).cast("double").alias("threshold"),
-                            F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
+    first, then the closing point (recall 0, precision 1); of every group of ``by``."""
+    rows = _segments(df, by, y_true, y_score)
+    own = [F.col(f"__g.{c}").alias(c) for c in by]
+    pts = rows.select(*own, (F.col("m") - F.col("idx")).alias("position"),
+                      F.col("score").alias("threshold"),
+                      (F.col("tps") / (F.col("tps") + F.col("fps"))).alias("precision"),
+                      F.when(F.col("P") > 0, F.col("tps") / F.col("P")).alias("recall"))
+    end = _ends(rows, by).where("m is not null").select(
+        *own, F.col("m").alias("position"), F.lit(None).cast("double").alias("threshold"),
+        F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
     return pts.unionByName(end)
 
 
@@ -345,14 +370,22 @@ def curves_summary(df: DataFrame, y_true: str = "y_true", y_score: str = "y_scor
 
 
 def thinned_curves(df: DataFrame, y_true: str = "y_true", y_score: str = "y_score",
-                   max_points: int = 300) -> DataFrame:
-    """ROC and PR curves thinned to ``max_points`` each, tagged by ``curve``."""
-    roc = thin_curve(roc_curve(df, y_true, y_score), "position", max_points)
-    pr = thin_curve(pr_curve(df, y_true, y_score), "position", max_points)
-    return (roc.select(F.lit("roc").alias("curve"), "position", F.col("fpr").alias("x"),
-                       F.col("tpr").alias("y"))
-            .unionByName(pr.select(F.lit("pr").alias("curve"), "position",
-                                   F.col("recall").alias("x"), F.col("precision").alias("y"))))
+                   max_points: int = 300, by: Sequence[str] = ()) -> DataFrame:
+    """ROC and PR curves thinned to ``max_points`` each, tagged by ``curve``; of every
+    group of ``by`` (a model, say) in one pass over the scores."""
+    out = None
+    for name, curve, x, y in (("roc", roc_curve(df, y_true, y_score, by=by), "fpr", "tpr"),
+                              ("pr", pr_curve(df, y_true, y_score, by=by), "recall", "precision")):
+        if by:
+            last = curve.groupBy(*by).agg((F.max("position") + 1).alias("__n"))
+            curve = curve.join(last, list(by)).where(
+                thin_position(F.col("position"), F.col("__n"), max_points))
+        else:
+            curve = thin_curve(curve, "position", max_points)
+        part = curve.select(*by, F.lit(name).alias("curve"), "position", F.col(x).alias("x"),
+                            F.col(y).alias("y"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 # E13 ------------------------------------------------------------------------

@@ -73,8 +73,10 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], name: str =
 
 
 def ordered_cumsum(df: DataFrame, order: Sequence[str | Column], values: Sequence[str],
-                   prefix: str = "cum_", partitions: int | None = None) -> DataFrame:
-    """Inclusive running sums of ``values`` in ``order`` (order should be unique per row)."""
+                   prefix: str = "cum_", partitions: int | None = None,
+                   following: Sequence[str] = ()) -> DataFrame:
+    """Inclusive running sums of ``values`` in ``order`` (order should be unique per row), and
+    ``next``: a struct of the ``following`` columns of the row after it (null at the end)."""
     cols = _order_cols(order)
     n = _partitions(df, partitions)
     frozen = freeze(df.repartitionByRange(n, *cols).withColumn(_PID, F.spark_partition_id()))
@@ -82,6 +84,16 @@ def ordered_cumsum(df: DataFrame, order: Sequence[str | Column], values: Sequenc
         Window.unboundedPreceding, Window.currentRow)
     local = frozen.select("*", *[F.sum(v).over(running).alias(f"{_LOCAL}{v}") for v in values])
     offsets = _offsets(frozen, {v: F.sum(v) for v in values})
+    if following:
+        # Inside a partition by lead; its last row takes the first one of the next partition,
+        # which is one row per partition.
+        inside = Window.partitionBy(_PID).orderBy(*cols)
+        local = local.withColumns({"__n": F.lead(F.struct(*following)).over(inside),
+                                   "__r": F.row_number().over(inside)})
+        firsts = local.where("__r = 1").select(_PID, F.struct(*following).alias("__f"))
+        carried = firsts.select(_PID, F.lead("__f").over(Window.orderBy(_PID)).alias("__c"))
+        local = (local.join(F.broadcast(carried), _PID)
+                 .withColumn("next", F.coalesce("__n", "__c")).drop("__n", "__c", "__r"))
     out = local.join(F.broadcast(offsets.drop("__all")), _PID)
     out = out.withColumns({f"{prefix}{v}": F.col(f"{_LOCAL}{v}") + F.col(f"{_OFF}{v}")
                            for v in values})
@@ -297,6 +309,19 @@ def thin_curve(df: DataFrame, position: str, max_points: int = 300) -> DataFrame
     return df.join(F.broadcast(kept), position, "left_semi")
 
 
+def thin_position(position: Column, n: Column, max_points: int = 300) -> Column:
+    """W5 as a condition on a 0-based position among ``n``: whether some ``int(j * step)`` is
+    it, found by trying the three ``j`` around ``position / step``."""
+    step = (n - 1).cast("double") / (max_points - 1)
+    near = F.ceil(position / step)
+    tries = [near + d for d in (-1, 0, 1)]
+    hit = F.lit(False)
+    for j in tries:
+        hit = hit | ((j >= 0) & (j < max_points - 1)
+                     & ((j.cast("double") * step).cast("long") == position))
+    return (n <= max_points) | (position == n - 1) | hit
+
+
 def keep_latest(df: DataFrame, ts: str, n: int = 200, key: str | None = None) -> DataFrame:
     """The n most recent entries (a top-k, not a sort of the whole log)."""
     order = [F.col(ts).desc()] + ([F.col(key).desc()] if key else [])

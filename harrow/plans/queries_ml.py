@@ -355,6 +355,49 @@ def comparison_table(spark, sf):
     return E.model_comparison(baselines, tuned)
 
 
+def _model_curves_sql() -> str:
+    rules = "\n  UNION ALL ".join(f"SELECT '{n}' AS model, hit AS y_true, {e} AS y_score FROM test"
+                                  for n, e in RULES_SQL.items())
+    thin = """SELECT model, curve, position, x, y FROM (
+  SELECT *, max(position) OVER (PARTITION BY model, curve) + 1 AS n FROM both_) AS b
+WHERE n <= 300 OR position IN (
+  SELECT CASE WHEN j = 299 THEN n - 1 ELSE CAST(trunc(CAST(j AS DOUBLE) * ((n - 1) / CAST(299 AS DOUBLE)))
+              AS BIGINT) END FROM range(300) AS r(j))"""
+    return SPLIT_SQL + f""",
+sc AS ({rules}),
+g AS (SELECT model, CAST(y_score AS DOUBLE) AS score, CAST(sum(y_true) AS BIGINT) AS pos,
+             CAST(sum(1 - y_true) AS BIGINT) AS neg FROM sc WHERE y_score IS NOT NULL GROUP BY 1, 2),
+cu AS (SELECT *, sum(pos) OVER w AS tps, sum(neg) OVER w AS fps,
+              row_number() OVER (PARTITION BY model ORDER BY score DESC) AS idx,
+              count(*) OVER (PARTITION BY model) AS m, sum(pos) OVER (PARTITION BY model) AS P,
+              sum(neg) OVER (PARTITION BY model) AS N
+       FROM g WINDOW w AS (PARTITION BY model ORDER BY score DESC ROWS UNBOUNDED PRECEDING)),
+nb AS (SELECT *, lag(tps) OVER w AS tp, lag(fps) OVER w AS fp, lead(tps) OVER w AS tn, lead(fps) OVER w AS fn
+       FROM cu WINDOW w AS (PARTITION BY model ORDER BY idx)),
+kept AS (SELECT * FROM nb WHERE idx = 1 OR idx = m OR fn - 2 * fps + fp != 0 OR tn - 2 * tps + tp != 0),
+both_ AS (
+  SELECT DISTINCT model, 'roc' AS curve, CAST(0 AS BIGINT) AS position, 0.0 AS x, 0.0 AS y FROM cu
+  UNION ALL SELECT model, 'roc', row_number() OVER (PARTITION BY model ORDER BY idx), fps / N, tps / P FROM kept
+  UNION ALL SELECT model, 'pr', m - idx, tps / P, CAST(tps AS DOUBLE) / (tps + fps) FROM cu
+  UNION ALL SELECT DISTINCT model, 'pr', m, 0.0, 1.0 FROM cu)
+""", thin
+
+
+_CURVES = _model_curves_sql()
+
+
+@register("e12_model_curves", with_ctes(_CURVES[0]) + _CURVES[1], doubles=["x", "y"])
+def e12_model_curves(spark, sf):
+    """Thinned ROC and PR curves of all models at once (three fixed rules, so that SQL can
+    follow)."""
+    _, test = split(spark, sf)
+    rows = None
+    for name, rule in RULES.items():
+        part = test.select(F.lit(name).alias("model"), F.col(LABEL).alias("y_true"), rule().alias("y_score"))
+        rows = part if rows is None else rows.unionByName(part)
+    return E.thinned_curves(rows, by=["model"])
+
+
 @register("e10_model_comparison", with_ctes(COMPARISON_SQL) + """
 SELECT * FROM comp""", doubles=CV_DOUBLES)
 def e10_model_comparison(spark, sf):

@@ -63,7 +63,7 @@ def _signals(rows):
 
 def _experiment(rows):
     names = {run: {r["artefact"] for r in rows if r["run"] == run} for run in ("natural", "balanced")}
-    assert names["balanced"] - names["natural"] == {"sampling_report"} and len(names["natural"]) == 13
+    assert names["balanced"] - names["natural"] == {"sampling_report"} and len(names["natural"]) == 14
     assert all(r["rows"] > 0 for r in rows if r["artefact"] != "genre_group_metrics")
     assert all(0.4 < r["best_f1_macro"] <= 1 for r in rows if r["artefact"] == "model_comparison")
 
