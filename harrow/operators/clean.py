@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harrow.functions.columns import lower_columns, parse_mixed_dates
@@ -44,23 +44,41 @@ def clean(df: DataFrame, time_col: str, now, formats: Sequence[str] = DEFAULT_FO
     return frame.filter(F.col(column).isNotNull() & (F.col(column) <= _now_lit(now)))
 
 
+def row_groups(df: DataFrame, carry: dict[str, Column] | None = None) -> DataFrame:
+    """One row per different row of ``df``: how often it occurs (``__n``) and the ``carry``
+    columns (name to expression of the row), by digest and verified.
+
+    Rows meet by a 128-bit digest and their carried columns, so the exchange does not grow with
+    the width of the table.  A digest that occurs once is a row of its own; only rows whose
+    digest repeats are compared as whole rows, so a collision changes nothing."""
+    # Nulls do not enter a hash, so which columns are null does.
+    nulls = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in df.columns])
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    digest = [F.xxhash64(nulls, *cols).alias("__h1"),
+              F.xxhash64(F.lit("second"), *reversed(cols), nulls).alias("__h2")]
+    carried = [c.alias(n) for n, c in (carry or {}).items()]
+    kept = [F.count(F.lit(1)).alias("__n"), *[F.first(n).alias(n) for n in carry or {}]]
+    met = df.select(*digest, *carried).groupBy("__h1", "__h2").agg(*kept)
+    again = met.where("__n > 1").select("__h1", "__h2")
+    whole = (df.select("*", *digest, *carried).join(again, ["__h1", "__h2"], "left_semi")
+             .groupBy(*cols).agg(*kept))
+    out = ["__n", *(carry or {})]
+    return met.where("__n = 1").select(*out).unionByName(whole.select(*out))
+
+
 def cleaning_report(df: DataFrame, time_col: str, now,
                     formats: Sequence[str] = DEFAULT_FORMATS) -> DataFrame:
     """One row describing every exclusion ``clean`` makes.
 
-    One shuffle: rows are grouped by their full content (partial aggregation first),
-    which yields both the raw count and the de-duplicated rows; a single aggregate
-    over the groups gives every figure.
+    What is exchanged per row is a digest and its date (``row_groups``); one aggregate over the
+    groups gives every figure.
     """
     frame = lower_columns(df)
     column = time_col.lower()
     now_c = _now_lit(now)
-    groups = frame.groupBy(*frame.columns).agg(F.count(F.lit(1)).alias("__n"))
-    if column in frame.columns:
-        d = parse_mixed_dates(column, formats)
-    else:
-        d = F.lit(None).cast("timestamp")
-    groups = groups.withColumn("__d", d)
+    d = (parse_mixed_dates(column, formats) if column in frame.columns
+         else F.lit(None).cast("timestamp"))
+    groups = row_groups(frame, {"__d": d})
     valid = F.col("__d").isNotNull()
     kept = valid & (F.col("__d") <= now_c)
     has_time = column in frame.columns

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harrow.functions.columns import add_label, parse_release_date
+from harrow.operators.joins import lookup_join
 
 # Nested record shapes of the catalog (fixed values).
 TRACK_SCHEMA = T.StructType([
@@ -53,14 +54,17 @@ def first_artist_id(track: str = "track") -> Column:
 def lookup_first_artist(tracks: DataFrame, artists: DataFrame, track: str = "track",
                         artist: str = "artist") -> DataFrame:
     """Attach the record of each track's first artist; absent gives nulls that
-    the flattening step turns into defaults.  Artists are de-duplicated by id first."""
-    keyed = tracks.withColumn("__aid", first_artist_id(track))
-    one = (artists.groupBy(F.col(f"{artist}.id").alias("__aid"))
-           .agg(F.min(F.col(artist)).alias(artist)))
-    # Tracks without artists share the null key; they match nothing and stay out of the join.
-    found = keyed.where("__aid is not null").join(one, "__aid", "left").drop("__aid")
-    none = F.lit(None).cast(artists.schema[artist].dataType).alias(artist)
-    return found.unionByName(keyed.where("__aid is null").drop("__aid").select("*", none))
+    the flattening step turns into defaults.  Artists are de-duplicated by id first.
+
+    One join: a track without artists takes a key of its own that no artist has, so such tracks
+    are spread over the exchange, and the catalog is read once."""
+    own = F.concat(F.lit("\u0000"), F.xxhash64(F.col(f"{track}.id")).cast("string"))
+    keyed = tracks.withColumns({"__aid": F.coalesce(first_artist_id(track), own),
+                                "__has": first_artist_id(track).isNotNull()})
+    one = (artists.where(F.col(f"{artist}.id").isNotNull())
+           .groupBy(F.col(f"{artist}.id").alias("__id")).agg(F.min(F.col(artist)).alias(artist)))
+    same = (F.col("__aid") == F.col("__id")) & F.col("__has")
+    return keyed.join(one, same, "left").drop("__aid", "__has", "__id")
 
 
 def flatten_catalog(joined: DataFrame, track: str = "track", artist: str = "artist") -> DataFrame:
@@ -96,10 +100,15 @@ def first_per_key(meta: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 
 def enrich_left_join(facts: DataFrame, meta: DataFrame, key: str, order: Sequence[str],
                      keep: Sequence[str] | None = None, score_col: str = "track_popularity",
-                     threshold: float = 70) -> DataFrame:
-    """Meta reduced to one row per key, left-joined to facts, then labelled."""
+                     threshold: float = 70, hot_share: float | None = None) -> DataFrame:
+    """Meta reduced to one row per key, left-joined to facts, then labelled.
+
+    Where the key of ``facts`` may be hot, ``hot_share`` has keys of that share of the rows
+    spread (``lookup_join``, two more passes over the key column); without it the planner
+    decides, which is right for keys that are unique or nearly so."""
     one = first_per_key(meta, key, order)
     if keep is not None:
         one = one.select(key, *[c for c in keep if c != key])
-    joined = facts.join(one, key, "left")
+    joined = (facts.join(one, key, "left") if hot_share is None
+              else lookup_join(facts, one, key, hot_share))
     return add_label(joined, score_col, threshold, "hit")

@@ -567,6 +567,57 @@ def test_replayed_batch_keeps_its_version(spark, tmp_path):
     assert X.read_scores(spark, sink).groupBy("bundle_version").count().count() == 2
 
 
+def test_hot_key_is_spread_without_adaptive_skew(spark):
+    """A third of the rows on one key and a third on null: partitions stay even, rows exact."""
+    from harrow.operators.joins import hot_keys, lookup_join
+    n = 30000
+    left = spark.range(n).select("id", F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                                 .when(F.col("id") % 3 == 1, F.lit(None))
+                                 .otherwise(F.concat(F.lit("k"), (F.col("id") % 5000).cast("string"))).alias("k"))
+    one = spark.createDataFrame([("hot", 1), (None, 2), ("k8", 3), ("k11", 4)], "k string, v int")
+    hot = hot_keys(left, F.col("k"))
+    assert set(hot) == {"hot", None} and abs(hot["hot"] - 1 / 3) < 1e-9
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = lookup_join(left, one, "k")
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+        assert len(sizes) == 8 and sizes[-1] < 2 * sizes[4]
+        got = joined.groupBy("k").agg(F.count("*").alias("n"), F.max("v").alias("v"), F.count("v").alias("c"))
+        by = {r["k"]: r for r in got.where("k is null or v is not null or k = 'hot'").collect()}
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert joined.count() == n
+    assert (by["hot"]["n"], by["hot"]["v"], by["hot"]["c"]) == (10000, 1, 10000)
+    assert (by[None]["n"], by[None]["v"]) == (10000, None) and by["k8"]["v"] == 3
+
+
+def test_first_artist_matches_nothing_without_one(spark):
+    from harrow.operators import enrich as EN
+    tracks = ['{"id":"a","artists":[{"id":"x"}]}', '{"id":"b","artists":[]}', '{"id":"c"}',
+              '{"id":"d","artists":[{"id":"nope"}]}']
+    artists = ['{"id":"x","popularity":5}', '{"id":"x","popularity":5}', '{"popularity":9}']
+    t = EN.parse_records(spark.createDataFrame([(v,) for v in tracks], "value string"), "value",
+                         EN.TRACK_SCHEMA, "track")
+    a = EN.parse_records(spark.createDataFrame([(v,) for v in artists], "value string"), "value",
+                         EN.ARTIST_SCHEMA, "artist")
+    got = EN.lookup_first_artist(t, a).select("track.id", "artist.popularity").collect()
+    assert sorted(map(tuple, got), key=str) == [("a", 5), ("b", None), ("c", None), ("d", None)]
+
+
+def test_row_groups_survive_colliding_digests(spark, monkeypatch):
+    """Nulls count as values, and rows whose digests collide stay different rows."""
+    from harrow.operators import clean as CL
+    rows = [(1, None), (None, 1), (1, None), (2, 2), (None, None), (2, 2), (2, 2), (3, 1)]
+    df = spark.createDataFrame(rows, "a int, b int")
+    assert sorted(r["__n"] for r in CL.row_groups(df).collect()) == [1, 1, 1, 2, 3]
+    monkeypatch.setattr(CL.F, "xxhash64", lambda *a: F.lit(7).cast("long"))
+    assert sorted(r["__n"] for r in CL.row_groups(df).collect()) == [1, 1, 1, 2, 3]
+    assert A.duplicate_rows(df).first()[0] == 3
+
+
 def test_columns_by_type_and_required(spark):
     df = spark.createDataFrame([(1, "a", 2.0, True)], "k int, t string, x double, b boolean")
     numeric, categorical = C.split_columns_by_type(df, exclude=["k"])
