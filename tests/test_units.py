@@ -618,6 +618,16 @@ def test_row_groups_survive_colliding_digests(spark, monkeypatch):
     assert A.duplicate_rows(df).first()[0] == 3
 
 
+def test_empty_result_replaces_its_run_only(spark, tmp_path):
+    from harrow.sources.io import read_result, write_result
+    df = spark.createDataFrame([(1, "a")], "v int, s string")
+    for run in ("one", "two / three"):
+        write_result(df, str(tmp_path), "table", run)
+    write_result(df.limit(0), str(tmp_path), "table", "one")
+    assert read_result(spark, str(tmp_path), "table", "one").count() == 0
+    assert read_result(spark, str(tmp_path), "table", "two / three").first()["v"] == 1
+
+
 def test_columns_by_type_and_required(spark):
     df = spark.createDataFrame([(1, "a", 2.0, True)], "k int, t string, x double, b boolean")
     numeric, categorical = C.split_columns_by_type(df, exclude=["k"])
