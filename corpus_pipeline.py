@@ -2,7 +2,12 @@
 
 Quality rules drop documents, SimHash keeps one document of each near-duplicate group,
 decontamination drops documents that hold a benchmark window, privacy rewrites texts, and
-mixing samples documents towards tempered source, language and form shares."""
+mixing samples documents towards tempered source, language and form shares.
+
+Defined cases: null and empty texts, and texts of under 50 words, go in the first stage; very
+long texts are read whole by every stage; of equal rows and ties the near-duplicate stage keeps
+the smallest id; rows that repeat an id are judged one by one until then; an empty table stays
+empty; further columns travel along whatever their names, and the last stage adds its own."""
 
 from __future__ import annotations
 
