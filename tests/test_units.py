@@ -696,3 +696,33 @@ def test_all_families_on_folds_prepared_once(spark, monkeypatch):
     calls.clear()
     assert M.tune(df, ["v"], ["c"], "hit", "k", "logistic_regression", "none", k=2)[2] > 0
     assert len(calls) == 3      # two folds and the refit, for three combinations
+
+
+def test_cardinality_sketches_merge_and_fall_back(spark):
+    rows = [(i, str(i % 500), None if i % 3 else "", -0.0 if i % 2 else 0.0, i % 2)
+            for i in range(9000)]
+    df = spark.createDataFrame(rows, "wide long, `odd.name` string, text string, num double, day int")
+    cols = ["wide", "odd.name", "text", "num"]
+    got = {r.column_name: r for r in A.cardinality_coverage(df, cols).collect()}
+    assert [got[c].distinct for c in cols] == [9000, 500, 1, 1]
+    assert [got[c].high_cardinality for c in cols] == [1, 0, 0, 0]
+    assert [got[c].sparse for c in cols] == [0, 0, 1, 0]
+    assert got["text"].coverage == pytest.approx(1 / 3)
+    assert "Expand" not in A.cardinality_coverage(df, cols)._jdf.queryExecution().toString()
+    rough = {r.column_name: r for r in A.cardinality_coverage(df, cols, approximate=True).collect()}
+    assert rough["wide"].distinct == pytest.approx(9000, rel=0.1)
+    assert [rough[c].distinct for c in cols[1:]] == [500, 1, 1]
+    # Two days' sketches make the whole table's.
+    days = [A.cardinality_sketches(df.where(F.col("day") == d), cols) for d in (0, 1)]
+    whole = A.cardinality_estimates(A.cardinality_sketches(df, cols)).collect()
+    both = A.cardinality_estimates(A.merge_cardinality(days[0].union(days[1]))).collect()
+    exact = lambda rs: sorted(tuple(r) for r in rs if r.exact)
+    assert exact(both) == exact(whole) and len(exact(whole)) == 3
+    (wide,) = [r for r in both if r.column_name == "wide"]
+    assert wide.exact == 0 and wide.distinct == pytest.approx(9000, rel=0.1)
+
+
+def test_cardinality_of_nothing(spark):
+    df = spark.createDataFrame([], "a string, b int")
+    assert [(r.distinct, r.coverage) for r in A.cardinality_coverage(df, ["a", "b"]).collect()] == \
+        [(0, None), (0, None)]
