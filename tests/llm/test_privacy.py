@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 import re
@@ -45,6 +46,22 @@ def test_patterns_joined(parts):
     assert P.base_spans(text) == slow(text)
 
 
+def test_query_counts_every_kind(spark, tmp_path):
+    """Counts by kind, wherever in the text's list of spans a span stands."""
+    from harrow.llm.q_privacy import op3_pii
+    texts = [None, "", "none here", "1.2.3.4 then 1.2.3.5 and 1.2.3.6",
+             "4111 1111 1111 1111, a@b.cd", "+44 (20) 7946-0958 +44 (20) 7946-0959 x@y.zz 9.9.9.9"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in op3_pii(spark, str(tmp_path)).collect()}
+    for i, text in enumerate(texts):
+        spans = slow(text or "")
+        joined = ",".join(f"{P.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+        assert [got[i][f"n_{P.KINDS[k]}"] for k in range(4)] == [
+            sum(s[1] == k for s in spans) for k in range(4)]
+        assert got[i]["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+
+
 def make():
     rng = random.Random(5)
     common = [f"word{i}" for i in range(50)]
