@@ -464,6 +464,33 @@ def test_stages_and_parts_of_tree_fits(spark):
     assert np.allclose([r["p"] for r in scored[:50]], want)
 
 
+def test_forest_trees_are_packed():
+    """A packed tree scores as the grown one, in a few bytes a node; an old model still loads."""
+    import json
+
+    from harrow.ml import forest
+    rng = np.random.default_rng(7)
+    x, y = np.round(rng.normal(size=(4000, 6)), 2), (rng.random(4000) < 0.3).astype(float)
+    edges = [np.quantile(c, np.arange(1, 40) / 40) for c in x.T]
+    codes = np.stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, x.T)], axis=1)
+    trees = [forest._grow(codes.astype(np.uint8), np.arange(4000), y, np.ones(4000), edges, s, 0, 42)
+             for s in (forest.Setting(30, 1, 1), forest.Setting(0, 1, 1), forest.Setting(3, 5, 1))]
+    packed = [forest.Packed.of(t) for t in trees]
+    for t, p in zip(trees, packed, strict=True):
+        node = np.zeros(len(x), int)
+        while (going := t.child[node] > 0).any():
+            at = node[going]
+            node[going] = t.child[at] + (x[going, t.feature[at]] > t.threshold[at])
+        assert np.array_equal(p.score(x), t.value[node]) and len(t.score(x[:0])) == 0
+        assert np.allclose(p.importance(6), np.bincount(t.feature, t.gain, 6))
+    assert len(trees[0].child) > 1000 and len(packed[0].data) < 10 * len(trees[0].child)
+    model = forest.ForestModel(packed, width=6)
+    assert model.fitted() == packed
+    old = forest.ForestModel(packed, width=6)._set(trees=json.dumps(
+        {"width": 6, "trees": [[a.tolist() for a in t] for t in trees]}))
+    assert old.fitted() == packed and old.featureImportances == model.featureImportances
+
+
 def test_tree_splits_against_brute_force():
     """The first split of both growers is the best one over all cuts."""
     from harrow.ml import boost, forest
