@@ -9,6 +9,7 @@ which makes the sink idempotent under retries.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -140,36 +141,56 @@ def read_scores(spark: SparkSession, sink: str) -> DataFrame:
 
 
 # W7 over a live log -----------------------------------------------------------------
+# Groups of partitions; fixed, since a running stream's state is kept by them.
+BUCKETS = 1024
+
+
 def drop_repeats_stream(stream: DataFrame, partition: Sequence[str], order: Sequence[str],
                         signature: Sequence[str], sink: str, checkpoint: str,
                         forget_after_ms: int | None = None, available_now: bool = True):
     """W7 as a stateful stream: a record whose signature equals that of the record before it in
     its partition is dropped (null-safe), also when that one came in an earlier micro-batch.
 
-    The state of a partition is a digest of its last signature.  Within a micro-batch records
-    are taken in ``order``; one that arrives later than its successors is compared with the last
-    one seen.  With ``forget_after_ms`` an idle partition's state is dropped, and its next record
-    is a first one.  The parquet sink's commit log makes the result exactly once."""
-    marked = stream.withColumn("__s", F.sha2(F.to_json(
-        F.struct(*signature), {"ignoreNullFields": "false"}), 256))
+    The state of a partition is a digest of its last signature; partitions share ``BUCKETS``
+    groups by hash, so that Python is called for a group of many and not for each.  Within a
+    micro-batch records are taken in ``order``; one that arrives later than its successors is
+    compared with the last one seen.  With ``forget_after_ms`` an idle partition's state is
+    dropped, and its next record is a first one.  The parquet sink's commit log makes the result
+    exactly once."""
+    def digest(cols: Sequence[str]) -> Column:
+        return F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256)
+
+    marked = stream.withColumns({"__s": digest(signature), "__p": digest(partition)})
+    marked = marked.withColumn("__b", F.pmod(F.xxhash64("__p"), F.lit(BUCKETS)))
 
     def keep(_, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(batches)).sort_values(list(order), kind="stable")
-        last = state.get[0] if state.exists else None
-        before = rows["__s"].shift(1)
-        before.iloc[0] = last
-        state.update((rows["__s"].iloc[-1],))
+        # Last signature of each partition and when it came.
+        last = json.loads(state.get[0]) if state.exists else {}
+        now = state.getCurrentProcessingTimeMs() if forget_after_ms else 0
         if forget_after_ms:
-            state.setTimeoutDuration(forget_after_ms)
-        yield rows[rows["__s"] != before].drop(columns="__s")
+            last = {p: v for p, v in last.items() if v[1] + forget_after_ms > now}
+        rows = None
+        if not state.hasTimedOut:
+            rows = pd.concat(list(batches), ignore_index=True)
+            rows = rows.sort_values(["__p", *order], kind="stable")
+            p, before = rows["__p"], rows["__s"].shift(1)
+            first, end = p != p.shift(1), p != p.shift(-1)
+            before[first] = [last.get(k, (None,))[0] for k in p[first]]
+            last.update({k: (v, now) for k, v in zip(p[end], rows["__s"][end], strict=True)})
+            rows = rows[rows["__s"] != before].drop(columns=["__s", "__p", "__b"])
+        if not last:
+            state.remove()
+        else:
+            state.update((json.dumps(last),))
+            if forget_after_ms:
+                state.setTimeoutDuration(forget_after_ms)
+        if rows is not None:
+            yield rows
 
     timeout = (GroupStateTimeout.ProcessingTimeTimeout if forget_after_ms
                else GroupStateTimeout.NoTimeout)
-    kept = marked.groupBy(*partition).applyInPandasWithState(
-        keep, stream.schema, "signature string", "append", timeout)
+    kept = marked.groupBy("__b").applyInPandasWithState(
+        keep, stream.schema, "signatures string", "append", timeout)
     writer = (kept.writeStream.format("parquet").option("path", sink)
               .option("checkpointLocation", checkpoint).outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer

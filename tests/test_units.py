@@ -3,6 +3,7 @@
 import io
 import math
 import wave
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -571,6 +572,24 @@ def test_stream_of_repeats_over_restarts(spark, tmp_path):
     assert got == want and len(got) == 9
 
 
+def test_streamed_repeats_of_many_partitions(spark, tmp_path):
+    """Partitions share groups of state; null is a partition, and none mixes with another."""
+    from harrow.operators import rank as W
+    from harrow.streaming import stream as X
+    stage, sink, ckpt = (str(tmp_path / n) for n in ("stage", "sink", "ckpt"))
+    rng = np.random.default_rng(3)
+    rows = [(None if u == 0 else u, t, str(rng.integers(0, 2)) if u % 3 else None)
+            for u in range(1500) for t in range(4)]
+    df = spark.createDataFrame(rows, "u long, t long, s string")
+    for half in (0, 1):
+        df.where(F.floor(F.col("t") / 2) == half).coalesce(1).write.mode("append").parquet(stage)
+        q = X.drop_repeats_stream(X.file_stream(spark, stage, df.schema), ["u"], ["t"], ["s"], sink, ckpt)
+    got = Counter(tuple(r) for r in spark.read.schema(df.schema).parquet(sink).collect())
+    want = Counter(tuple(r) for r in W.drop_consecutive_repeats(df, ["u"], ["t"], ["s"]).collect())
+    assert got == want and len(rows) > sum(got.values()) > 1500
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= X.BUCKETS
+
+
 def test_replayed_batch_keeps_its_version(spark, tmp_path):
     """A batch that was noted but not finished is scored again by the version it had noted,
     though a newer one is there by then."""
