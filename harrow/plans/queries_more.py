@@ -11,6 +11,7 @@ from harrow.operators import sampling as SA
 from harrow.plans import fixtures as FX
 from harrow.plans.catalog import register, with_ctes
 from harrow.plans.queries_core import LOG_SQL
+from harrow.session import freeze
 
 LAB = FX.LABELLED_CTE
 SC = FX.SCORED_CTE
@@ -164,7 +165,8 @@ SELECT track_key, hit FROM labelled
 WHERE track_key IN (SELECT pk FROM m1 UNION ALL SELECT ck FROM m1
                     UNION ALL SELECT pk FROM m2 UNION ALL SELECT ck FROM m2)""")
 def sa01_matched_sample(spark, sf):
-    lab = FX.labelled_tracks(spark, sf)
+    # Read by the matching and by the sample.
+    lab = freeze(FX.labelled_tracks(spark, sf).select("track_key", "hit", "first_week", "genre"))
     sample, _ = SA.case_control_match(lab, "hit", "first_week", "genre", "track_key", 42)
     return sample.select("track_key", "hit")
 
@@ -264,7 +266,9 @@ def e13_holdout_integrity(spark, sf):
     """The holdout before a resampled fit against the rows that the fitted model scores
     after it; and a holdout that lost rows, which must be noticed."""
     from harrow.ml.models import fit_pipeline
-    lab = FX.labelled_tracks(spark, sf)
+    # Read by the split, the fit, the scores and both checks.
+    lab = freeze(FX.labelled_tracks(spark, sf).select("track_key", "hit", "first_week", "tempo",
+                                                      "acctbal", "segment"))
     split = W.temporal_split(lab, "first_week", ["track_key"], 0.2)
     test = split.filter("is_test = 1").drop("is_test")
     train = split.filter("is_test = 0").drop("is_test")

@@ -342,6 +342,49 @@ def test_minority_neighbours_match_brute_force(spark, block_rows, clusters):
     assert SA.minority_neighbours(df.limit(0), "f", "k").count() == 0
 
 
+def test_smote_cells_grow_with_the_rows(spark, monkeypatch):
+    """Beyond so many rows a cell there are more cells, and groups of cells lose none."""
+    made = []
+
+    class Noted(SA.CellIndex):
+        def __init__(self, sample, cells):
+            made.append(self)
+            super().__init__(sample, cells, 2)
+
+    monkeypatch.setattr(SA, "CellIndex", Noted)
+    monkeypatch.setattr(SA, "SMOTE_CELL_ROWS", 10)
+    rng = np.random.default_rng(12)
+    x = np.concatenate([rng.normal(size=(700, 2)), np.eye(3)[rng.integers(0, 3, 700)]], axis=1)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "k long, f array<double>")
+    nn = SA.minority_neighbours(df, "f", "k", k=3, block_rows=64, cells=4)
+    got = {(r["k"], r["nn_rank"]): r["neighbour"] for r in nn.collect()}
+    d = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    np.fill_diagonal(d, np.inf)
+    best = np.argsort(d, axis=1, kind="stable")[:, :3]
+    assert got == {(i, j): best[i, j] for i in range(700) for j in range(3)}
+    index, bound = made[0], np.sort(d, axis=1)[:, 2]
+    assert 40 <= index.leaves <= 70
+    assert list(zip(*index.reached(x, bound))) == list(zip(*np.nonzero(index.reach(x, bound))))
+
+
+@pytest.mark.parametrize("name", ["e13_holdout_integrity", "sa01_matched_sample"])
+def test_labelled_tracks_are_computed_once(spark, monkeypatch, name):
+    from harrow.plans import fixtures as FX
+    from harrow.plans import queries_more as Q
+    seen = spark.sparkContext.accumulator(0)
+    tracks = FX.labelled_tracks(spark, "/root/testdata/sf0.001")
+    n = tracks.count()
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    monkeypatch.setattr(FX, "labelled_tracks", lambda *_: tracks.mapInPandas(count, tracks.schema))
+    getattr(Q, name)(spark, "").collect()
+    assert n > 1000 and seen.value == n
+
+
 def test_minority_neighbours_by_signature(spark):
     """Exact on one-hot data, and by far fewer comparisons than all pairs."""
     rng = np.random.default_rng(5)
