@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harrow.llm.common import WORD_RE, id_and_text, stored
+from harrow.llm.common import WORD_RE, id_and_text, small_batches, stored
 
 KINDS = ("email", "ip", "card", "phone", "term", "general")
 BASE_KINDS = 4
@@ -159,7 +159,9 @@ _SCAN = T.StructType([T.StructField("base", T.ArrayType(_SPAN)),
 
 
 def scan(docs: DataFrame, near: int = NEAR) -> DataFrame:
-    """``doc_id, th, base, entities, near`` per row, stored: one pass over the texts."""
+    """``doc_id, th, base, entities, near`` per row, stored: one pass over the texts, few of
+    them and of their words in memory at a time."""
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf(_SCAN)
     def look(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -181,6 +183,7 @@ def scan(docs: DataFrame, near: int = NEAR) -> DataFrame:
 def term_counts(docs: DataFrame, asked: DataFrame) -> DataFrame:
     """``term, n_t`` for the terms of ``asked``: rows of documents that hold a term, summed
     within tasks first."""
+    small_batches(docs.sparkSession)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: Counter[str] = Counter()

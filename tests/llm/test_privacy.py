@@ -186,3 +186,19 @@ def test_rewriting_by_class_and_clashing_names(spark):
     assert "Falconer" not in got[0] and "<EMAIL>" in got[0] and "<WORD>" in got[0]
     assert got[1000] == docs[10][1]
     assert P.word_class("Quay") == "<NAME>" and P.word_class("r2d2") == "<NUMBER>"
+
+
+def test_python_gets_few_texts_at_a_time(spark, tmp_path):
+    """Whatever the session's batches are: large ones of long texts took the executors' memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.createDataFrame([(i, f"word{i} a{i % 4}@b.cd near") for i in range(40)],
+                                 "doc_id long, text string")
+    try:
+        for step in (lambda: P.scan(docs), lambda: P.term_counts(docs, docs.selectExpr("'near' AS term"))):
+            spark.conf.set(key, "10000")
+            rows = step().collect()
+            assert int(spark.conf.get(key)) <= 256
+            assert len(rows) == 40 or rows[0].n_t == 40
+    finally:
+        spark.conf.set(key, before)
