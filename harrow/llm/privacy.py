@@ -29,9 +29,10 @@ import re
 import string
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,6 +48,8 @@ Z = 1.96
 REMOVE_BITS = 0.62
 GENERALISE_BITS = 1.32
 _FLUSH = 200_000
+# Terms beside spans that leave a task at a time: those of one text more at most.
+NEAR_TERMS = 20_000
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
@@ -151,11 +154,49 @@ def free_terms(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
 
 _SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("kind", T.IntegerType()),
                       T.StructField("end", T.IntegerType())])
-_NEAR = T.StructType([T.StructField("entity", T.StringType()), T.StructField("term", T.StringType()),
-                      T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
-_SCAN = T.StructType([T.StructField("base", T.ArrayType(_SPAN)),
-                      T.StructField("entities", T.ArrayType(T.StringType())),
-                      T.StructField("near", T.ArrayType(_NEAR))])
+_SCAN = ("doc_id long, th long, base array<struct<start: int, kind: int, end: int>>, "
+         "entities array<string>, near array<struct<entity: string, term: string, start: int, end: int>>")
+
+
+class _Lists:
+    """Lists of records, a list a row, kept field by field: a few bytes for a number."""
+
+    def __init__(self, **fields: pa.DataType):
+        self.types = fields
+        self.values: list[list] = [[] for _ in fields]
+        self.ends = [0]
+
+    def add(self, records: Sequence[tuple]) -> None:
+        for held, new in zip(self.values, zip(*records, strict=True), strict=False):
+            held.extend(new)
+        self.ends.append(self.ends[-1] + len(records))
+
+    def array(self) -> pa.ListArray:
+        flat = [pa.array(v, t) for v, t in zip(self.values, self.types.values(), strict=True)]
+        records = flat[0] if len(flat) == 1 else pa.StructArray.from_arrays(flat, list(self.types))
+        return pa.ListArray.from_arrays(pa.array(self.ends, pa.int32()), records)
+
+
+def _scanned(batch: pa.RecordBatch, near: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch with what is found in them, in pieces of about ``NEAR_TERMS``."""
+    number, word = pa.int32(), pa.string()
+    texts, at = batch.column("text"), 0
+    while at < len(texts):
+        first = at
+        base = _Lists(start=number, kind=number, end=number)
+        entities = _Lists(entity=word)
+        beside = _Lists(entity=word, term=word, start=number, end=number)
+        while at < len(texts) and beside.ends[-1] < NEAR_TERMS:
+            text = texts[at].as_py() or ""
+            spans = base_spans(text)
+            base.add(spans)
+            entities.add([(e,) for e in sorted({entity_of(text, s) for s in spans})])
+            beside.add(near_terms(text, spans, near))
+            at += 1
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(c).slice(first, at - first) for c in ("doc_id", "th")]
+            + [base.array(), entities.array(), beside.array()],
+            ["doc_id", "th", "base", "entities", "near"])
 
 
 def scan(docs: DataFrame, near: int = NEAR) -> DataFrame:
@@ -163,21 +204,12 @@ def scan(docs: DataFrame, near: int = NEAR) -> DataFrame:
     them and of their words in memory at a time."""
     small_batches(docs.sparkSession)
 
-    @F.pandas_udf(_SCAN)
-    def look(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in texts:
-            rows = []
-            for text in batch:
-                text = text or ""
-                spans = base_spans(text)
-                rows.append(([dict(start=s, kind=k, end=e) for s, k, e in spans],
-                             sorted({entity_of(text, s) for s in spans}),
-                             [dict(entity=c, term=t, start=s, end=e)
-                              for c, t, s, e in near_terms(text, spans, near)]))
-            yield pd.DataFrame(rows, columns=["base", "entities", "near"])
-
-    rows = docs.select("doc_id", F.xxhash64("text").alias("th"), look("text").alias("s"))
-    return stored(rows.select("doc_id", "th", "s.*"), "privacy-scan")
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _scanned(batch, near)
+
+    rows = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
+    return stored(rows.mapInArrow(look, _SCAN), "privacy-scan")
 
 
 def term_counts(docs: DataFrame, asked: DataFrame) -> DataFrame:

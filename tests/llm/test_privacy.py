@@ -3,6 +3,7 @@ import math
 import random
 import re
 
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -202,3 +203,27 @@ def test_python_gets_few_texts_at_a_time(spark, tmp_path):
             assert len(rows) == 40 or rows[0].n_t == 40
     finally:
         spark.conf.set(key, before)
+
+
+def test_scan_holds_the_terms_of_few_texts(monkeypatch):
+    """What a scan finds leaves a task in pieces of bounded size, however many texts of a batch
+    have many spans; no row is lost, doubled or moved, and the fields are those of the texts."""
+    rng = random.Random(7)
+    texts = [None, "", "no spans"] + [
+        " ".join(f"word{rng.randrange(50)} " * 8 + f"a{i}.{j}@b.cd" for j in range(20)) for i in range(40)]
+    texts += ["1.2.3.4 alone", "4111 1111 1111 1111 é beside a@b.cd"]
+    rng.shuffle(texts)
+    monkeypatch.setattr(P, "NEAR_TERMS", 1000)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "th": list(range(100, 100 + len(texts))),
+                                        "text": pa.array(texts, pa.string())})
+    pieces = list(P._scanned(batch, 64))
+    most = max(len(P.near_terms(t or "", slow(t or ""), 64)) for t in texts)
+    assert len(pieces) > 10
+    assert all(sum(map(len, p.column("near").to_pylist())) < 1000 + most for p in pieces)
+    got = [r for p in pieces for r in p.to_pylist()]
+    assert [(r["doc_id"], r["th"]) for r in got] == [(i, 100 + i) for i in range(len(texts))]
+    for r, text in zip(got, texts, strict=True):
+        spans = slow(text or "")
+        assert [(s["start"], s["kind"], s["end"]) for s in r["base"]] == spans
+        assert r["entities"] == sorted({P.entity_of(text, s) for s in spans})
+        assert [tuple(n.values()) for n in r["near"]] == P.near_terms(text or "", spans, 64)
