@@ -818,3 +818,30 @@ def test_cardinality_of_nothing(spark):
     df = spark.createDataFrame([], "a string, b int")
     assert [(r.distinct, r.coverage) for r in A.cardinality_coverage(df, ["a", "b"]).collect()] == \
         [(0, None), (0, None)]
+
+
+def test_holdout_rows_are_scored_once(spark, monkeypatch):
+    """Curve, counts and result all read the scores; the trees are walked for one of them only."""
+    from harrow.plans import queries_ml as Q
+    scored = spark.sparkContext.accumulator(0)
+
+    class Model:
+        def score(self, df):
+            @F.udf("double")
+            def walk(k):
+                scored.add(1)
+                return (k * 37 % 100) / 100
+
+            return df.withColumn("hit_potential", walk("track_key")).withColumn(
+                "predicted_hit", (F.col("hit_potential") >= 0.5).cast("int"))
+
+    test = spark.createDataFrame([(i, i * 53 % 7 % 2) for i in range(200)], "track_key long, hit int")
+    monkeypatch.setattr(Q, "split", lambda spark, sf: (test, test))
+    monkeypatch.setattr(Q.M, "fit_pipeline", lambda *args: Model())
+    got = Q.m02_random_forest(spark, "unused").first()
+    kept = scored.value
+    score = [(i * 37 % 100) / 100 for i in range(200)]
+    right = sum((s >= 0.5) == bool(i * 53 % 7 % 2) for i, s in enumerate(score))
+    assert got["accuracy"] == pytest.approx(right / 200) and got["model"] == "random_forest"
+    # One pass, read by name of the column and by its threshold.
+    assert kept <= 2 * 200
