@@ -845,3 +845,34 @@ def test_holdout_rows_are_scored_once(spark, monkeypatch):
     assert got["accuracy"] == pytest.approx(right / 200) and got["model"] == "random_forest"
     # One pass, read by name of the column and by its threshold.
     assert kept <= 2 * 200
+
+
+def test_trees_grow_on_all_rows_whatever_the_layout(spark):
+    """However many rows there are, a boosted model is one model of all rows and a tree of a forest
+    draws from all: neither tasks nor shards change it."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    from harrow.ml import boost, forest
+    from harrow.ml import models as M
+    rows = spark.range(300_000).select(
+        "id", F.array(*(F.rand(i) - 0.5 for i in range(4))).alias("v"), F.rand(9).alias("u"))
+    x = M.sized(rows.select("id", array_to_vector(F.col("v")).alias("features"), (
+        F.col("v")[0] + 0.4 * F.col("v")[1] + 0.1 * F.col("u") > 0.2).cast("double").alias("label")))
+    setting = boost.Setting(3, 0.3, 4)
+    one = boost.fit_grid(x, [setting], "id", slots=1)[setting]
+    three = boost.fit_grid(x, [setting], "id", slots=3, shard_rows=100_000)[setting]
+    usual = boost.BoostedTrees(setting=setting, key="id").fit(x).fitted()
+    assert len(one) == len(three) == len(usual) == 1
+    for a in (three[0], usual[0]):
+        assert np.array_equal(a.feature, one[0].feature) and np.array_equal(a.threshold, one[0].threshold)
+        assert np.allclose(a.value, one[0].value) and np.isclose(a.base, one[0].base)
+    setting = forest.Setting(2, 1, 3)
+    trees = forest.fit_grid(x, [setting], "id")[setting]
+    # The first split of a tree is the best one over its bootstrap of all rows.
+    pdf = x.select(F.xxhash64("id").alias("k"), "label", vector_to_array("features").alias("v")).toPandas()
+    edges = boost.bin_edges(x, "features")
+    codes = np.stack([np.searchsorted(e, c, side="left") for e, c in
+                      zip(edges, np.array(pdf["v"].tolist()).T, strict=True)], axis=1).astype(np.uint8)
+    args = (pdf["k"].to_numpy(), pdf["label"].to_numpy(), np.ones(len(pdf)), edges, setting)
+    for t, tree in enumerate(trees):
+        assert tree == forest.Packed.of(forest._grow(codes, *args, t, 42))
