@@ -876,3 +876,20 @@ def test_trees_grow_on_all_rows_whatever_the_layout(spark):
     args = (pdf["k"].to_numpy(), pdf["label"].to_numpy(), np.ones(len(pdf)), edges, setting)
     for t, tree in enumerate(trees):
         assert tree == forest.Packed.of(forest._grow(codes, *args, t, 42))
+
+
+def test_forests_of_every_path_draw_from_all_rows(spark):
+    """``fit_pipeline`` and the fits of a cross-validation grow the forest of one part that holds
+    all rows, also beyond 100,000 of them."""
+    from harrow.ml import forest
+    from harrow.ml import models as M
+    rows = spark.range(110_000).select("id", (F.pmod(F.xxhash64("id"), F.lit(1000)) / 1000).alias("v")) \
+        .withColumn("hit", (F.col("v") + F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)) / 5000 > 0.7).cast("int"))
+    params = {"maxDepth": 2, "minInstancesPerNode": 1, "numTrees": 2}
+    ready = M.prepare(rows, ["v"], [], "hit", "id")["none"]
+    want = forest.fit_grid(ready.x, [M.forest_setting(params)], "id", part_rows=10**9)[M.forest_setting(params)]
+    assert M.fit_pipeline(rows, ["v"], [], "hit", "id", "random_forest", params=params).clf.fitted() == want
+    few = ready.x.orderBy("id").limit(50)
+    got = M.score_points(ready, "random_forest", [params], few).select("p").collect()
+    x = np.array([r["features"].toArray() for r in few.collect()])
+    assert np.allclose([r["p"][0] for r in got], np.mean([t.score(x) for t in want], axis=0))
